@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("name_queries", "dedup_queries", "canon_queries", "packing_queries", "leak_queries", "sentence_queries")
+MODULES = ("name_queries", "scan_queries", "dedup_queries", "canon_queries", "packing_queries", "leak_queries", "sentence_queries")
 
 
 def _all(kind: str) -> dict:
