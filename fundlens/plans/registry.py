@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fundlens.plans import records
+from fundlens.plans import awards_api, records
 
-MODULES = (records,)
+MODULES = (records, awards_api)
 
 
 def queries() -> dict:
