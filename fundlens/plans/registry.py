@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fundlens.plans import awards_api, records
+from fundlens.plans import awards_api, checks, line_tables, records, rollup, totals
 
-MODULES = (records, awards_api)
+MODULES = (records, awards_api, rollup, totals, checks, line_tables)
 
 
 def queries() -> dict:
