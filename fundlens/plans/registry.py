@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fundlens.plans import awards_api, checks, line_tables, records, rollup, totals
+from fundlens.plans import awards_api, checks, events, line_tables, records, rollup, totals
 
-MODULES = (records, awards_api, rollup, totals, checks, line_tables)
+MODULES = (records, awards_api, rollup, totals, checks, line_tables, events)
 
 
 def queries() -> dict:

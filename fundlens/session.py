@@ -48,3 +48,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that it need not be installed there."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    mark = f"fundlens-{sc.applicationId}.zip"
+    if getattr(sc, "_fundlens_shipped", None) == mark:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="fundlens-"), mark)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("fundlens", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._fundlens_shipped = mark
