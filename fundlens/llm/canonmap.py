@@ -122,10 +122,19 @@ def learn(pairs: list[tuple[str, str]], vocabulary: set[str]) -> Lexicon:
     idle = Counter(t for left, missing in split if not missing for t in set(left))
     out.noise = {t for t, n in idle.items() if n >= MIN_SUPPORT and n >= 0.4 * seen[t] and t not in vocabulary}
 
+    def settle(left: list[str], missing: list[str]) -> tuple[set[str], list[str]]:
+        """What stays over on both sides once the rewrites known so far are applied."""
+        rest, i = [], 0
+        while i < len(left):
+            n = 2 if tuple(left[i : i + 2]) in out.rewrites else 1
+            rest.append(out.rewrites.get(tuple(left[i : i + n]), left[i]))
+            i += n
+        return set(rest) - set(missing) - out.noise - out.optional, [x for x in missing if x not in rest]
+
     def find_optional() -> None:
         for _ in range(2):  # a word may be replaced by another optional one
-            free = lambda left: {out.rewrites.get((t,), t) for t in left} - out.noise - out.optional
-            gone = Counter(x for left, missing in split if len(missing) <= 2 and not free(left) for x in missing)
+            over = [settle(left, missing) for left, missing in split]
+            gone = Counter(x for left, missing in over if len(missing) <= 2 and not left for x in missing)
             out.optional |= {x for x, n in gone.items() if n >= MIN_SUPPORT and n >= OPTIONAL_SHARE * held[x]}
 
     find_optional()
