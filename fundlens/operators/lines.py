@@ -181,7 +181,8 @@ def extract_capital(lines: DataFrame, roster: Sequence[str] = ()) -> DataFrame:
     d = forward_fill(d, F.when(X.is_caps_header("line") & ~X.is_data_row("line") & ~F.col("line").rlike(r"^I{1,3}\.$"), F.col("line")), "agency")
     t = F.split(X.clean("line"), " ")
     rest = F.array_join(F.slice(t, 6, 10_000), " ")
-    pattern = r"^(.*?)\s*(?:-?\d{1,3}(?:,\d{3})*\s+){3}-?\d{1,3}(?:,\d{3})*(?=\s|$)\s*(.*)$"
+    number = r"-?\d{1,3}(?:,\d{3})*"
+    pattern = rf"^(.*?)\s*(?:(?<!\S){number}\s+){{3}}{number}(?=\s|$)(?!\s+{number}(?:\s|$))\s*(.*)$"
     f = X.amount_run(rest)
     out = d.where(X.is_data_row("line")).select(
         "doc", "line_no", "part", "agency", F.concat_ws(" ", t[0], t[1]).alias("sub_id"), F.concat_ws(" ", t[2], t[3]).alias("budget_line"), t[4].alias("boro"),

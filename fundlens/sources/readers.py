@@ -58,7 +58,8 @@ def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: Sequen
     """Cells as they stand; absent ones are empty; rows of another width are kept in ``_corrupt``."""
     schema = T.StructType([*text_schema(columns).fields, T.StructField("_corrupt", T.StringType())])
     df = _csv(spark).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(schema).csv(path)
-    return df.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns), "_corrupt")
+    first = F.length(F.coalesce(F.col(columns[0]), F.lit("")))  # Spark refuses to read the corrupt column alone
+    return df.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns), F.when(first >= 0, F.col("_corrupt")).alias("_corrupt"))
 
 
 def read_years(spark: SparkSession, glob: str, columns: Sequence[str]) -> DataFrame:

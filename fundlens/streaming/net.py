@@ -16,14 +16,16 @@ def net_positions(rows: DataFrame) -> DataFrame:
 
 def event_windows(events: DataFrame, length: str = "1 hour", late: str | None = "1 day") -> DataFrame:
     """(start, event_type, n, value): tumbling windows; rows later than ``late`` behind are dropped in a stream."""
-    e = events.withWatermark("ts", late) if late else events
+    e = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    e = e.withWatermark("ts", late) if late else e
     g = e.groupBy(F.window("ts", length).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
     return g.select(F.col("w.start").alias("start"), "event_type", "n", "value")
 
 
 def event_sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = "1 day") -> DataFrame:
     """(user_id, start, end, n): runs of events of a user without a longer gap."""
-    e = events.withWatermark("ts", late) if late else events
+    e = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    e = e.withWatermark("ts", late) if late else e
     g = e.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"))
     return g.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
