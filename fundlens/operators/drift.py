@@ -253,21 +253,17 @@ TARGET = {
 }
 
 
-def canonical_columns(feed: DataFrame, dataset: str) -> DataFrame:
-    """(column_name, target): for every column name of a dataset the target it carries.
-
-    Renames found between files link names; each linked set takes the target that is one of
-    its names.  Names without a target keep their own.  The name graph has one node per
-    distinct name and is closed by repeated joins (its diameter bounds the rounds).
-    """
+def rename_links(feed: DataFrame, dataset: str) -> DataFrame:
+    """(a, b, n): in how many files of a dataset column name a became b; one row per distinct pair of names."""
     links = all_changes(feed.where(F.col("dataset") == dataset)).where("change = 'renamed'").select(F.col("old_name").alias("a"), F.col("column_name").alias("b"))
-    links = links.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    return links
+    return links.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def consistent_table(feed: DataFrame, dataset: str) -> DataFrame:
     """All records of ``dataset`` in one table: feed_id, series, file_seq, row_no, the target columns, and ``other`` (the rest as a map).
 
+    Renames found between files link column names; a name takes the target it is linked to
+    over any number of renames.
     A value that does not cast to its target's type is null there and kept in ``other``.
     """
     from fundlens.operators.closure import resolve_names
@@ -275,7 +271,7 @@ def consistent_table(feed: DataFrame, dataset: str) -> DataFrame:
     target = TARGET[dataset]
     own = feed.where(F.col("dataset") == dataset)
     cells = exploded(own)
-    names = resolve_names(canonical_columns(feed, dataset), list(target))
+    names = resolve_names(rename_links(feed, dataset), list(target))
     j = cells.join(F.broadcast(names), "column_name", "left").withColumn("target", F.coalesce("target", F.when(F.col("column_name").isin(list(target)), F.col("column_name"))))
     cast = {c: F.expr(f"try_cast(value AS {t})") for c, t in target.items()}
     fits = F.coalesce(*(F.when(F.col("target") == c, cast[c].isNotNull()) for c in target), F.lit(False))
