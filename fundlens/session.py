@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,21 +54,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that it need not be installed there."""
-    import os
-    import zipfile
+    """Send this package to the executors, once per application, so that it need not be installed there.
 
+    The archive lies in the shared folder of ``spark.checkpoint.dir``; in a temporary one
+    only where that is unset.
+    """
     sc = spark.sparkContext
-    mark = f"fundlens-{sc.applicationId}.zip"
-    if getattr(sc, "_fundlens_shipped", None) == mark:
+    if getattr(sc, "_fundlens_shipped", None) == sc.applicationId:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="fundlens-"), mark)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, files in os.walk(root):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.join("fundlens", os.path.relpath(full, root)))
-    sc.addPyFile(path)
-    sc._fundlens_shipped = mark
+    shared = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="fundlens-")
+    path = sc._jvm.org.apache.hadoop.fs.Path(shared, f"fundlens-{sc.applicationId}.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(buffer.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
+    sc._fundlens_shipped = sc.applicationId
