@@ -6,6 +6,9 @@ no-break spaces count.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -173,9 +176,24 @@ def former_name(c: ColumnOrName) -> Column:
     return F.nullif(F.trim(F.regexp_extract(_text(c), r"(?i)formerly ([^)]+)", 1)), F.lit(""))
 
 
+@lru_cache
+def _decomposed() -> tuple[str, str]:
+    """(letters, what is left of each): every character that decomposes into one letter and marks, by the Unicode rule."""
+    pairs = []
+    for code in range(0xC0, 0x10000):
+        whole = unicodedata.normalize("NFD", chr(code)) if not 0xD800 <= code < 0xE000 else ""
+        plain = "".join(ch for ch in whole if unicodedata.category(ch) != "Mn")
+        if len(plain) == 1 and plain != chr(code):
+            pairs.append((chr(code), plain))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def deaccent(c: ColumnOrName) -> Column:
-    """Latin letters without their accents."""
-    return F.translate(_text(c), "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy")
+    """Text without its accents: composed letters lose their marks, and so do letters followed by marks.
+
+    Letters that decompose into several (Hangul syllables) stay whole.
+    """
+    return F.regexp_replace(F.translate(_text(c), *_decomposed()), r"\p{Mn}+", "")
 
 
 def slug(c: ColumnOrName) -> Column:
@@ -273,10 +291,19 @@ def first_token_split(c: ColumnOrName) -> tuple[Column, Column]:
     return parts[0], F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
 
 
+#: Fixed value: agency initials at the head of a line, divided by slashes or commas.
+AGENCY_INITIALS = r"^([A-Z][A-Za-z]{1,5}(?:[/,]\s?[A-Z][A-Za-z]{1,5})*)\s+(.*)$"
+
+
 def agency_prefix_split(c: ColumnOrName) -> tuple[Column, Column]:
-    """(agency, rest) of a summary line that begins with agency initials in capitals; agency empty otherwise."""
-    s, p = clean(c), r"^([A-Z]{2,6}(?:[/,]\s?[A-Z]{2,6})*)\s+(.*)$"
-    return F.regexp_extract(s, p, 1), F.when(s.rlike(p), F.regexp_extract(s, p, 2)).otherwise(s)
+    """(agency, rest) of a summary line whose first word is in capitals and that begins with agency initials; agency empty otherwise.
+
+    Initials after the first may be in mixed case ('DCAS/HhS').
+    """
+    s, p = clean(c), AGENCY_INITIALS
+    word = F.split(s, " ")[0]
+    ok = s.rlike(p) & (word == F.upper(word))
+    return F.when(ok, F.regexp_extract(s, p, 1)).otherwise(F.lit("")), F.when(ok, F.regexp_extract(s, p, 2)).otherwise(s)
 
 
 #: Verbs by which a leading 'Fund' begins a purpose and no name.
@@ -286,11 +313,15 @@ PURPOSE_VERBS = (
 ).split()
 
 
+#: Other words that begin a purpose, in whatever case.
+PURPOSE_LEADS = ("to ", "support", "provide", "purpose")
+
+
 def is_purpose(c: ColumnOrName) -> Column:
-    """Prose of a purpose: a leading plural or gerund of fund, a singular before a verb, or a leading lower-case letter."""
+    """Prose of a purpose: a leading plural or gerund of fund, a singular before a verb, another lead of a purpose, or a leading lower-case letter."""
     s = F.ltrim(_text(c))
     verbs = "|".join(PURPOSE_VERBS)
-    return s.rlike(rf"(?i)^(?:funds|funding|finds|(?:fund|find)\s+(?:{verbs})\b)\b") | s.rlike("^[a-z]")
+    return s.rlike(rf"(?i)^(?:funds|funding|finds|(?:fund|find)\s+(?:{verbs})\b)\b") | s.rlike("(?i)^(?:" + "|".join(PURPOSE_LEADS) + ")") | s.rlike("^[a-z]")
 
 
 def is_caps_header(c: ColumnOrName) -> Column:

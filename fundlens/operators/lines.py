@@ -104,6 +104,16 @@ def longest_prefix(lines: DataFrame, text: str, roster: DataFrame, name: str, mo
     return out.withColumn("match", F.coalesce(*(F.col(f"_m{k}") for k in range(most, 0, -1)))).drop("_w", *(f"_m{k}" for k in range(1, most + 1)))
 
 
+def leading_name(lines: DataFrame, text: str, roster: DataFrame, name: str, most: int = 3) -> DataFrame:
+    """As ``longest_prefix``, but case counts: the match stands in the text as it stands in the roster."""
+    names = roster.select(X.clean(name).alias("_n")).where("_n <> ''").distinct()
+    out = lines.withColumn("_w", F.split(X.clean(text), " "))
+    for k in range(most, 0, -1):
+        key = F.when(F.size("_w") >= k, F.array_join(F.slice("_w", 1, k), " "))
+        out = out.withColumn("_k", key).join(names.withColumnRenamed("_n", f"_m{k}"), F.col("_k") == F.col(f"_m{k}"), "left").drop("_k")
+    return out.withColumn("match", F.coalesce(*(F.col(f"_m{k}") for k in range(most, 0, -1)))).drop("_w", *(f"_m{k}" for k in range(1, most + 1)))
+
+
 def peel_names(text: Column, names: Sequence[str]) -> tuple[Column, Column]:
     """(names, rest): names of a short roster, separated by commas, at the head of a text; the longest are tried first.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fundlens.functions import exprs as X
+from fundlens.session import cut_lineage
 
 
 def matched_itemized(adopted: DataFrame, awards: DataFrame, keys: Sequence[str], year: str = "fiscal_year") -> DataFrame:
@@ -54,16 +55,69 @@ def wide_leaves(yearly: DataFrame, keys: Sequence[str], years: Sequence[int], ye
 
 
 def with_dense_id(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """1-based position by ``keys`` without sorting everything in one task: range partitions are numbered, then shifted by what stands before them."""
+    """1-based position by ``keys`` without sorting everything in one task: range partitions are numbered, then shifted by what stands before them.
+
+    The partitioned rows are written first: the bounds of the ranges are sampled, so the
+    numbers and the shifts must come from one and the same partitioning.
+    """
     spark = df.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = df.repartitionByRange(n, *keys).withColumn("_p", F.spark_partition_id())
+    parts = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_p", F.spark_partition_id()))
     counts = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_b"))  # one row per partition
     own = F.row_number().over(W.partitionBy("_p").orderBy(*keys))
     return parts.withColumn("_r", own).join(F.broadcast(before), "_p").withColumn(name, (F.col("_r") + F.col("_b")).cast("bigint")).drop("_p", "_r", "_b")
 
 
+def gate_total(wide: DataFrame, year: int, target: int, prefix: str = "Adopted") -> DataFrame:
+    """(year, computed, target, passed): the grand total of one year of wide leaves against a printed one; an empty table sums to 0."""
+    computed = F.coalesce(F.sum(f"{prefix} {year}"), F.lit(0)).cast("bigint")
+    return wide.agg(computed.alias("computed")).select(F.lit(year).alias("year"), "computed", F.lit(target).cast("bigint").alias("target"), (F.col("computed") == target).alias("passed"))
+
+
+#: Columns of the budget view and the columns they stand for.
+VIEW_COLUMNS = {"Fund": "category", "Department": "initiative", "Control Officer": "bucket", "Short Title": "initiative", "Department Description": "description"}
+
+
+def budget_view(leaves: DataFrame, id_col: str = "leaf_id") -> DataFrame:
+    """Leaves under the column names of the budget view, all other columns after them; the link is unused and empty."""
+    used = {*VIEW_COLUMNS.values(), id_col}
+    head = [F.col(src).alias(name) for name, src in VIEW_COLUMNS.items() if src in leaves.columns]
+    return leaves.select(*head, F.col(id_col).alias("Department ID"), F.lit("").alias("Link to Website"), *(c for c in leaves.columns if c not in used))
+
+
+def first_match(df: DataFrame, where: dict[str, object], order: Sequence[str]) -> DataFrame:
+    """The first row, by ``order`` and then by every column, whose columns equal ``where``; no row if none does.
+
+    A null in ``where`` equals null.  Only one row per task reaches the last step.
+    """
+    for k, v in where.items():
+        df = df.where(F.col(k).eqNullSafe(F.lit(v)))
+    return df.orderBy(*order, *(c for c in df.columns if c not in order)).limit(1)
+
+
+#: Routes of the browser and the columns whose slugs they name, from the top down.
+ROUTES = {"fund-detail": ("category", "initiative"), "control-officer-detail": ("bucket", "initiative")}
+
+
+def parse_route(route: str) -> tuple[tuple[str, ...], dict[str, str], int | None]:
+    """(columns of the view, column -> slug, year) of 'fund-detail/<slug>[/<slug>][?year=Y]'; an empty view for a route of another form."""
+    path, _, query = route.lstrip("#/!").partition("?")
+    parts = [p for p in path.split("/") if p]
+    year = query.partition("year=")[2] if "year=" in query else ""
+    columns = ROUTES.get(parts[0], ()) if parts else ()
+    slugs = dict(zip(columns, parts[1:3])) if columns else {}
+    return columns, slugs, int(year) if year.isdigit() else None
+
+
+def follow_route(rows: DataFrame, route: str, year_col: str = "fiscal_year") -> DataFrame:
+    """The rows a deep link means: equal slugs of its columns, and its year if it names one."""
+    _, slugs, year = parse_route(route)
+    for c, s in slugs.items():
+        rows = rows.where(X.slug(c) == s)
+    return rows if year is None else rows.where(F.col(year_col) == year)
+
+
 def series(df: DataFrame, years: tuple[int, int], group: str | None = None, year: str = "fiscal_year", amount: str = "amount") -> DataFrame:
     """(group, year, total) with a row for every year of the range; absent years are 0."""
     spark = df.sparkSession

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fundlens.functions import exprs as X
@@ -101,10 +102,16 @@ def violations(df: DataFrame, spec: TableSpec, members: DataFrame | None = None)
 
 
 def summary(found: DataFrame, sample: int = 3) -> DataFrame:
-    """(table_name, check, severity, n, sample): exact counts and the smallest ids; a bounded sample is kept while counting."""
-    by_task = found.groupBy("table_name", "check", "severity", F.pmod(F.xxhash64("row_id"), F.lit(64)).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_list("row_id")), 1, sample).alias("ids"))
-    g = by_task.groupBy("table_name", "check", "severity").agg(F.sum("n").cast("bigint").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, sample).alias("ids"))
-    return g.select("table_name", "check", "severity", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("sample"))
+    """(table_name, check, severity, n, sample): exact counts and the smallest ids.
+
+    Counts combine before the shuffle.  Of the ids each task hands on the ``sample``
+    smallest of each check only (a window with a rank limit), so no check is ever gathered.
+    """
+    by = ["table_name", "check", "severity"]
+    n = found.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    top = found.withColumn("_r", F.row_number().over(W.partitionBy(*by).orderBy("row_id"))).where(F.col("_r") <= sample)
+    ids = top.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list("row_id")).cast("array<string>"), ",").alias("sample"))
+    return n.join(ids, by)
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

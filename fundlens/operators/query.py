@@ -8,7 +8,7 @@ callers of the API see them, and the totals over all matches beside that.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -175,36 +175,78 @@ def available_years(**tables: tuple[DataFrame, str]) -> DataFrame:
     return out
 
 
+class Rows:
+    """The rows of an answer without a limit: counted in the cluster, read one partition at a time, never held at once."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df = df
+
+    def __len__(self) -> int:
+        return self.df.count()
+
+    def __iter__(self) -> Iterator[dict]:
+        return (r.asDict() for r in self.df.toLocalIterator())
+
+
 def call(tool: str, tables: dict[str, DataFrame], args: dict) -> dict:
-    """The API entry: ``{"rows", "text"}``, or ``{"error"}``; never raises."""
+    """The API entry: ``{"rows", "text"}``, or ``{"error"}``; never raises.
+
+    The rows of a tool with a limit are a list of at most that many; those of the others
+    are ``Rows``, whole however many they are, and their text is summed up in the cluster.
+    """
     handlers: dict[str, Callable] = {
         "search_awards": lambda: search_awards(tables["awards"], **args), "get_awards_by_ein": lambda: awards_by_ein(tables["awards"], **args),
         "search_transparency_resolutions": lambda: search_transparency(tables["transparency"], **args),
         "search_capital_projects": lambda: search_capital(tables["capital"], **args), "get_terms_conditions": lambda: terms_conditions(tables["terms"], **args),
         "get_legislation_link": lambda: legislation_links(tables["legislation_crosswalk"], **args),
+        "list_available_fiscal_years": lambda: years_by_dataset(tables, **args),
     }
     try:
         if tool not in handlers:
             raise QueryError(f"Unknown tool: {tool}")
-        # bounded by the limit of the request, or by one EIN
-        rows = [r.asDict() for r in handlers[tool]().limit(100_000).collect()]
-        return {"rows": rows, "text": render(tool, rows)}
+        df = handlers[tool]()
+        if "limit" in TOOLS[tool].params or tool == "list_available_fiscal_years":
+            rows = [r.asDict() for r in df.collect()]
+            return {"rows": rows, "text": render(tool, rows)}
+        return {"rows": Rows(df), "text": render_all(tool, df)}
     except Exception as e:  # noqa: BLE001
         return {"error": f"Error: {e}"}
 
 
+def years_by_dataset(tables: dict[str, DataFrame], **args) -> DataFrame:
+    """The years each of the given tables covers; the one of the document where a table has both."""
+    TOOLS["list_available_fiscal_years"].parse(args)
+    year = lambda d: next((c for c in ("source_fy", "fiscal_year") if c in d.columns), None)
+    return available_years(**{n: (d, year(d)) for n, d in sorted(tables.items()) if year(d)})
+
+
+def render_all(tool: str, df: DataFrame) -> str:
+    """As ``render``, for rows that stay in the cluster: one row per year comes back."""
+    key = "fy1" if "fy1" in df.columns else "amount" if "amount" in df.columns else None
+    amount = F.coalesce(F.col(key), F.lit(0)) if key else F.lit(0)
+    low = F.coalesce(F.max(F.col("low_text_confidence")), F.lit(0)) if "low_text_confidence" in df.columns else F.lit(0)
+    years = [tuple(r) for r in df.groupBy("fiscal_year").agg(F.count(F.lit(1)), F.sum(amount).cast("bigint"), low).collect()]
+    return _report(tool, {y: (n, s) for y, n, s, _ in years}, bool(key), any(x for *_, x in years))
+
+
 def render(tool: str, rows: list[dict]) -> str:
     """Text of a result: count, total of the returned rows, per-year lines, provenance."""
-    if not rows:
-        return "No matching rows."
-    key = "fy1" if "fy1" in rows[0] else "amount" if "amount" in rows[0] else None
-    lines = [f"{len(rows)} row(s)" + (f", {_money(sum(r[key] or 0 for r in rows))}" if key else "")]
+    if tool == "list_available_fiscal_years":
+        return "\n".join([*(f"{r['dataset']}: {r['years']}" for r in rows), f"Source: {tool}"])
+    key = "fy1" if rows and "fy1" in rows[0] else "amount" if rows and "amount" in rows[0] else None
     years: dict = {}
     for r in rows:
         n, s = years.get(r.get("fiscal_year"), (0, 0))
         years[r.get("fiscal_year")] = (n + 1, s + ((r[key] or 0) if key else 0))
+    return _report(tool, years, bool(key), any(r.get("low_text_confidence") for r in rows))
+
+
+def _report(tool: str, years: dict, money: bool, low: bool) -> str:
+    if not years:
+        return "No matching rows."
+    lines = [f"{sum(n for n, _ in years.values())} row(s)" + (f", {_money(sum(s for _, s in years.values()))}" if money else "")]
     lines += [f"  FY{y}: {n} row(s), {_money(s)}" for y, (n, s) in sorted(years.items(), key=lambda kv: (kv[0] is None, kv[0]))]
-    if any(r.get("low_text_confidence") for r in rows):
+    if low:
         lines.append("Caution: text of some rows is of low confidence; rely on EIN and amounts.")
     return "\n".join([*lines, f"Source: {tool}"])
 

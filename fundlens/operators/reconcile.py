@@ -46,22 +46,28 @@ def signed_net(df: DataFrame, key: str, amount: str = "amount") -> DataFrame:
 def axis_totals(df: DataFrame, year: str, axes: Sequence[str], amount: str = "amount") -> DataFrame:
     """(axis, year, total): the same sum along every axis; totals of a year must agree over axes.
 
-    One pass: grouping sets over (year, axis) for each axis, then summed up per year.
+    One scan and one shuffle of the rows: grouping sets over (year, axis) for each axis; the
+    far fewer groups are summed up per year and axis after that.
     """
     a = F.sum(F.coalesce(F.col(amount), F.lit(0))).cast("bigint")
-    out = None
-    for axis in axes:
-        one = df.groupBy(year, axis).agg(a.alias("t")).groupBy(year).agg(F.sum("t").cast("bigint").alias("total"), F.count(F.lit(1)).alias("groups")).select(F.lit(axis).alias("axis"), F.col(year).alias("year"), "total", "groups")
-        out = one if out is None else out.unionByName(one)
-    return out
+    sets = [[F.col(year), F.col(x)] for x in axes]
+    g = df.groupingSets(sets, F.col(year), *(F.col(x) for x in axes)).agg(a.alias("t"), F.grouping_id().alias("_g"))
+    # the bit of the axis that a set groups by is 0; of ``axes`` the first has the highest bit
+    bit = {x: 1 << (len(axes) - 1 - i) for i, x in enumerate(axes)}
+    axis = F.coalesce(*(F.when(F.col("_g").bitwiseAND(F.lit(b)) == 0, x) for x, b in bit.items()))
+    return g.groupBy(axis.alias("axis"), F.col(year).alias("year")).agg(F.sum("t").cast("bigint").alias("total"), F.count(F.lit(1)).alias("groups"))
 
 
 def rollup_reports(reports: DataFrame, text: str = "text") -> DataFrame:
     """``reports`` with (exact, total, status) read from their words.
 
-    PASS if all are exact or subtotals reconcile, PARTIAL if some are, N/A if not
-    reconcilable, else 'unparsed'.
+    N/A if not reconcilable, in whatever case; else by the number of exact categories, or
+    where none is named by that of agency subtotals: PASS if all are, PARTIAL if some are
+    not; else 'unparsed', as are null and empty texts.
     """
-    n, m = (F.nullif(F.regexp_extract(text, r"(?i)(\d+)\s*/\s*(\d+)\s+(?:categories exact|agency subtotals reconcile)", i), F.lit("")).cast("int") for i in (1, 2))
-    status = F.when(F.col(text).contains("NOT RECONCILABLE"), "N/A").when(n.isNull(), "unparsed").when(n == m, "PASS").otherwise("PARTIAL")
-    return reports.withColumns({"exact": n, "total": m, "status": status})
+    s = F.coalesce(F.col(text), F.lit(""))
+    of = lambda what, i: F.nullif(F.regexp_extract(s, rf"(\d+)\s*/\s*(\d+)\s+{what}", i), F.lit("")).try_cast("int")
+    n, m = (F.coalesce(of(r"(?:reconcilable\s+)?categories exact", i), of("agency subtotals reconcile", i)) for i in (1, 2))
+    void = s.rlike("(?i)NOT RECONCILABLE")
+    status = F.when(void, "N/A").when(n.isNull() | m.isNull(), "unparsed").when(n == m, "PASS").otherwise("PARTIAL")
+    return reports.withColumns({"exact": F.when(~void, n), "total": F.when(~void, m), "status": status})

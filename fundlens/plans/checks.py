@@ -14,7 +14,7 @@ _COPY = ["fiscal_year", "category", "initiative", "award_type", "member", "organ
 
 
 def _surnames(spark, d):
-    return Q.surnames(rt(spark, d, "transparency").select("council_member"), rt(spark, d, "awards").select("member"))
+    return Q.surnames(rt(spark, d, "transparency").select("council_member"))  # the cleaner of the two member columns
 
 
 def _violations(spark, d):
@@ -60,7 +60,7 @@ def text_confidence_band(spark, d):
 QUERIES = {f.__name__: f for f in (qa_violations, qa_summary, qa_column_bleed, qa_duplicates, qa_duplicate_count, qa_surnames, ein_coverage, text_confidence_band)}
 
 _NOT = ", ".join(f"'{w}'" for w in Q.NOT_SURNAMES)
-_SUR = f"""sur AS (SELECT DISTINCT lower(list_extract(string_split_regex(trim(m), ' +'), -1)) AS s FROM (SELECT council_member AS m FROM transparency UNION ALL SELECT member FROM awards) WHERE coalesce(m, '') <> ''
+_SUR = f"""sur AS (SELECT DISTINCT lower(list_extract(string_split_regex(trim(m), ' +'), -1)) AS s FROM (SELECT council_member AS m FROM transparency) WHERE coalesce(m, '') <> ''
   AND regexp_full_match(lower(list_extract(string_split_regex(trim(m), ' +'), -1)), '[a-z]{{4,}}') AND lower(list_extract(string_split_regex(trim(m), ' +'), -1)) NOT IN ({_NOT}))"""
 _VALID = "regexp_full_match(replace(coalesce(ein, ''), '-', ''), '[0-9]{9}')"
 

@@ -175,7 +175,7 @@ SELECT norm, count(*) AS variants, sum(amount)::BIGINT AS amount, sum(n)::BIGINT
     "dominant_spellings": f"WITH {_ALL}, {_stats_sql('category')}, {_dominant_sql(mech_category_sql('variant'))} SELECT * FROM dom JOIN cas USING (norm)",
     "rename_notes": "SELECT raw_id, trim(regexp_extract(raw_initiative, '(?i)formerly ([^)]+)', 1)) AS former_name FROM initiative_name_crosswalk WHERE trim(regexp_extract(raw_initiative, '(?i)formerly ([^)]+)', 1)) <> ''",
     "mode_org_per_ein": "SELECT ein, organization FROM (SELECT ein, organization, row_number() OVER (PARTITION BY ein ORDER BY count(*) DESC, min(award_id)) AS r FROM awards WHERE organization <> '' AND ein <> '' GROUP BY ein, organization) WHERE r = 1",
-    "ein_backfill": f"""WITH b AS (SELECT *, coalesce(organization, '') = '' OR regexp_matches(ltrim(coalesce(organization, '')), '(?i)^(?:funds|funding|finds|(?:fund|find)\\s+(?:{"|".join(X.PURPOSE_VERBS)})\\b)\\b') OR regexp_matches(ltrim(coalesce(organization, '')), '^[a-z]') AS bad FROM awards),
+    "ein_backfill": f"""WITH b AS (SELECT *, coalesce(organization, '') = '' OR regexp_matches(ltrim(coalesce(organization, '')), '(?i)^(?:funds|funding|finds|(?:fund|find)\\s+(?:{"|".join(X.PURPOSE_VERBS)})\\b)\\b') OR regexp_matches(ltrim(coalesce(organization, '')), '(?i)^(?:{"|".join(X.PURPOSE_LEADS)})') OR regexp_matches(ltrim(coalesce(organization, '')), '^[a-z]') AS bad FROM awards),
 m AS (SELECT ein, organization AS usual FROM (SELECT ein, organization, row_number() OVER (PARTITION BY ein ORDER BY count(*) DESC, min(award_id)) AS r FROM b WHERE NOT bad AND ein <> '' GROUP BY ein, organization) WHERE r = 1)
 SELECT award_id, CASE WHEN bad THEN coalesce(usual, organization) ELSE organization END AS organization FROM b LEFT JOIN m USING (ein)""",
     "org_overlap": """WITH g AS (SELECT DISTINCT upper(category) AS g, regexp_replace(coalesce(ein, ''), '[^0-9]', '', 'g') AS m FROM awards WHERE category <> '' AND regexp_replace(coalesce(ein, ''), '[^0-9]', '', 'g') <> ''),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,15 +32,24 @@ def get_spark(app: str = "fundlens", master: str | None = None, shuffle_partitio
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the files.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only where
-    that is unset (tests, a laptop) a temporary folder is used.
+    The folder is the one the cluster names in ``spark.checkpoint.dir`` (see ``shared_folder``).
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="fundlens-"))
+        sc.setCheckpointDir(shared_folder(sc))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(sc: SparkContext) -> str:
+    """``spark.checkpoint.dir``; only a local master, where there is one machine, may go without and gets a temporary folder."""
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
+    return tempfile.mkdtemp(prefix="fundlens-")
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast of ``df`` only after counting that it has at most ``max_rows`` rows.
 
@@ -56,8 +67,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that it need not be installed there.
 
-    The archive lies in the shared folder of ``spark.checkpoint.dir``; in a temporary one
-    only where that is unset.
+    The archive lies in the shared folder (see ``shared_folder``).
     """
     sc = spark.sparkContext
     if getattr(sc, "_fundlens_shipped", None) == sc.applicationId:
@@ -70,7 +80,7 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.join("fundlens", os.path.relpath(full, root)))
-    shared = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="fundlens-")
+    shared = shared_folder(sc)
     path = sc._jvm.org.apache.hadoop.fs.Path(shared, f"fundlens-{sc.applicationId}.zip")
     out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
     out.write(bytearray(buffer.getvalue()))

@@ -44,27 +44,28 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _csv(spark: SparkSession):
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+def _csv(spark: SparkSession, multi_line: bool = True):
+    """A file whose cells hold no line breaks can be divided over tasks: ``multi_line=False``."""
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
 
 
-def read_csv_strict(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+def read_csv_strict(spark: SparkSession, path: str | list[str], columns: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Trimmed cells, null as empty; a row with another number of fields fails the read."""
-    df = _csv(spark).option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("enforceSchema", False).schema(text_schema(columns)).csv(path)
+    df = _csv(spark, multi_line).option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("enforceSchema", False).schema(text_schema(columns)).csv(path)
     return df.select(*(X.trim_all(c).alias(c) for c in columns))
 
 
-def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Cells as they stand; absent ones are empty; rows of another width are kept in ``_corrupt``."""
     schema = T.StructType([*text_schema(columns).fields, T.StructField("_corrupt", T.StringType())])
-    df = _csv(spark).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(schema).csv(path)
+    df = _csv(spark, multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(schema).csv(path)
     first = F.length(F.coalesce(F.col(columns[0]), F.lit("")))  # Spark refuses to read the corrupt column alone
     return df.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns), F.when(first >= 0, F.col("_corrupt")).alias("_corrupt"))
 
 
-def read_years(spark: SparkSession, glob: str, columns: Sequence[str]) -> DataFrame:
+def read_years(spark: SparkSession, glob: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Every file of a glob with ``year`` (FYNN) and ``fiscal_year`` from its folder."""
-    df = _csv(spark).schema(text_schema(columns)).csv(glob)
+    df = _csv(spark, multi_line).schema(text_schema(columns)).csv(glob)
     p = F.col("_metadata.file_path")
     return df.select(X.year_label(p).alias("year"), X.year_in_path(p).alias("fiscal_year"), *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns))
 

@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None) -> int:
+def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None, rows_per_file: int = 2_000_000) -> int:
     """Replace a Parquet table; returns its rows, counted while writing.
 
-    ``sort_by`` sorts within the written files, so that row groups can be skipped.
+    ``sort_by`` sorts within the written files, so that row groups can be skipped.  With
+    ``partition_by`` the rows are divided by that value and, for values of many rows, by as
+    many salts as they have files of ``rows_per_file``, so that no value is one task.
     """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        out = out.repartition(partition_by)
+        files = df.groupBy(F.col(partition_by).alias("_v")).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_files"))
+        out = out.join(files, F.col(partition_by).eqNullSafe(F.col("_v")), "left").withColumn("_salt", F.floor(F.rand(7) * F.col("_files")).cast("int"))
+        out = out.repartition(partition_by, "_salt").drop("_v", "_files", "_salt")
     if sort_by:
         out = out.sortWithinPartitions(*filter(None, [partition_by, sort_by]))
     w = out.write.mode("overwrite")
