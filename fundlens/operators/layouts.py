@@ -86,12 +86,13 @@ def joined(words: Column) -> Column:
 
 def _column_amounts(words: Column, fy: Column, last: Column, pattern: str) -> list[Column]:
     """The last amount whose right edge lies under each of four columns (a column ends where the next begins), else 0."""
-    out = []
-    for i in range(4):
+
+    def column(i: int) -> Column:
         low, high = F.get(fy, F.lit(i)), F.coalesce(F.get(fy, F.lit(i + 1)), last)
-        hit = F.filter(words, lambda w, low=low, high=high: w["text"].rlike(pattern) & (w["x1"] >= low) & (w["x1"] < high))
-        out.append(_money(F.get(hit, F.size(hit) - 1)["text"]))
-    return out
+        hit = F.filter(words, lambda w: w["text"].rlike(pattern) & (w["x1"] >= low) & (w["x1"] < high))
+        return _money(F.get(hit, F.size(hit) - 1)["text"])
+
+    return [column(i) for i in range(4)]
 
 
 def _under(w: Column, fy: Column, last: Column) -> Column:

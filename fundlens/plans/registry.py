@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fundlens.plans import awards_api, checks, events, line_tables, records, rollup, totals
+from fundlens.plans import answers, awards_api, checks, events, forms, line_tables, papers, records, rollup, round_trips, totals
 
-MODULES = (records, awards_api, rollup, totals, checks, line_tables, events)
+MODULES = (records, awards_api, rollup, totals, checks, line_tables, events, papers, forms, answers, round_trips)
 
 
 def queries() -> dict:
