@@ -6,7 +6,9 @@ polynomial hashes modulo two primes; no canonical string is built.  Rows are gro
 the sorted field hashes and their other fields; a group is reduced to its smallest id and
 its size by a combining aggregate, so a group of any size costs one row per task.  Every
 row of a group is then compared with the group's first row by a two-pointer comparison
-that skips and folds as it goes.
+that skips and folds as it goes.  Texts move for that comparison only, and of rows in
+groups only: the others are held back where they are read, by a bit map of their ids.
+The folded codes of one Arrow batch at a time are the most that stands in memory.
 """
 
 from __future__ import annotations
@@ -18,9 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundlens.session import cut_lineage
+
 #: Moduli and multipliers of the two rolling hashes (any primes below 2**31 do).
 PRIMES = np.array([2147483647, 2147483629], np.uint64)
 BASES = np.array([1000003, 999983], np.uint64)
+#: Copies compared with one first row in one task; a larger group is salted.
+SALT_ROWS = 50_000
+#: Bits of the map per id, and its 64-bit words at most (a bound of some 24 MB; a fuller map holds back less).
+BITS_PER_ID, MAX_WORDS = 4, 1_000_000
 _SKIP = 0
 _UNSEEN = 0xFFFFFFFF
 
@@ -149,6 +157,19 @@ def hash_fields(df: DataFrame, id_col: str, fields: Sequence[str], exact: dict[s
     return hashed.select("_id", F.xxhash64("_e0", *hs).alias("k1"), F.xxhash64(F.lit(7), "_e1", *reversed(hs)).alias("k2"))
 
 
+def _in_groups(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose _id may be one of ``ids``; some others pass, none of those is lost.
+
+    A map of hashed ids, never larger than ``MAX_WORDS``, is joined where the rows are read.
+    """
+    words = min(MAX_WORDS, max(64, -(-ids.count() * BITS_PER_ID // 64)))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(words * 64))
+    word, bit = lambda c: F.floor(place(c) / 64).cast("int"), lambda c: F.pmod(place(c), F.lit(64)).cast("int")
+    held = ids.groupBy(word("_id").alias("_w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(_id), {words * 64}), 64) as int))")).alias("_bits"))
+    j = rows.join(F.broadcast(held), word("_id") == F.col("_w"))  # bounded by MAX_WORDS rows
+    return j.where(F.getbit("_bits", bit("_id")) == 1).drop("_w", "_bits")
+
+
 def find_copies(df: DataFrame, id_col: str, fields: Sequence[str], exact: dict[str, Column]) -> DataFrame:
     """(first_id, copy_id): every row that repeats an earlier one in form only.
 
@@ -158,31 +179,34 @@ def find_copies(df: DataFrame, id_col: str, fields: Sequence[str], exact: dict[s
     rows; very long texts are hashed and compared whole.
     """
     keyed = hash_fields(df, id_col, fields, exact)
-    groups = keyed.groupBy("k1", "k2").agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = keyed.join(groups, ["k1", "k2"]).where("_id <> first_id").select("first_id", F.col("_id").alias("copy_id"))
+    groups = keyed.groupBy("k1", "k2").agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cut_lineage(keyed.join(groups, ["k1", "k2"]).select("first_id", "_id", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")))
     row = F.struct(*(F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f"f{i}") for i, f in enumerate(fields)), F.struct(*(c.alias(k) for k, c in exact.items())).alias("e"))
-    rows = df.select(F.col(id_col).cast("long").alias("_id"), row.alias("r"))
-    pairs = members.join(rows.withColumnsRenamed({"_id": "copy_id", "r": "b"}), "copy_id").join(rows.withColumnsRenamed({"_id": "first_id", "r": "a"}), "first_id")
+    rows = _in_groups(df.select(F.col(id_col).cast("long").alias("_id"), row.alias("r")), members.select("_id"))
+    texts = members.join(rows, "_id")
+    firsts = texts.where("_id = first_id").select("first_id", F.col("r").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    copies = texts.where("_id <> first_id").select("first_id", F.col("_id").alias("copy_id"), F.col("r").alias("b"), F.pmod(F.xxhash64("_id"), F.col("salts")).cast("int").alias("salt"))
+    pairs = copies.join(firsts, ["first_id", "salt"])
     names = [f"f{i}" for i in range(len(fields))]
-    packed = pairs.select("first_id", "copy_id", (F.col("a.e") == F.col("b.e")).alias("eq"), *(F.col(f"{s}.{f}").alias(f"{s}{f}") for s in "ab" for f in names))
+    packed = pairs.select("first_id", "copy_id", (F.col("a.e") == F.col("b.e")).alias("eq"), F.to_json("b.e").alias("e"), *(F.col(f"{s}.{f}").alias(f"{s}{f}") for s in "ab" for f in names))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(names)
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns[3:]]
-            first, copy, eq = (b.column(i) for i in range(3))
+            cols = [c.to_pylist() for c in b.columns[4:]]
+            first, copy, eq, exact = (b.column(i) for i in range(4))
             ok, other = [], []
             for i, e in enumerate(eq.to_pylist()):
                 x, y = [c[i] for c in cols[:n]], [c[i] for c in cols[n:]]
                 good = e and same_texts(x, y)
                 ok.append(good)
                 other.append(None if good else canonical(y))
-            yield pa.RecordBatch.from_arrays([first, copy, pa.array(ok, pa.bool_()), pa.array(other, pa.string())], names=["first_id", "copy_id", "ok", "text"])
+            yield pa.RecordBatch.from_arrays([first, copy, pa.array(ok, pa.bool_()), pa.array(other, pa.string()), exact], names=["first_id", "copy_id", "ok", "text", "e"])
 
-    checked = packed.mapInArrow(verify, "first_id bigint, copy_id bigint, ok boolean, text string")
+    checked = packed.mapInArrow(verify, "first_id bigint, copy_id bigint, ok boolean, text string, e string")
     good = checked.where("ok").select("first_id", "copy_id")
     # rows that share both keys with a row they do not equal: group those by their text
-    odd = checked.where("not ok").join(rows.withColumnRenamed("_id", "copy_id"), "copy_id").select("copy_id", "text", F.col("r.e").alias("e"))
+    odd = checked.where("not ok").select("copy_id", "text", "e")
     heads = odd.groupBy("text", "e").agg(F.min("copy_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     j = odd.alias("o").join(heads.alias("h"), (F.col("o.text") == F.col("h.text")) & F.col("o.e").eqNullSafe(F.col("h.e")))
     return good.unionByName(j.where("copy_id <> first_id").select("first_id", "copy_id"))
