@@ -1,17 +1,18 @@
 """Evaluation texts leaking into training text: greedy string tiling over token seeds.
 
 The held-out items form a seed index of rolling (Karp-Rabin) hashes over k consecutive
-words.  Documents are scanned in whole batches; a seed shared by a document and an item
-puts them on a diagonal (offset of the one against the other).  On the diagonals with
-enough seeds the longest common runs of words are marked as tiles, longest first and
-never overlapping, and sentences of the item that stand there with some words replaced
-are counted.  The number of documents is unbounded; the index holds a block of items.
+words.  Documents are scanned in whole batches; shared seeds name the pairs of a document
+and an item that may have a passage in common.  Such a pair is tiled: the longest common
+runs of words are marked, longest first and never overlapping in either text, wherever
+they stand.  What the tiles cover of the item decides: one long tile is a leak, and so is
+a row of sentences each covered up to a few replaced words, in whatever order the document
+has them.  The number of documents is unbounded; the index holds a block of items.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 MIN_RUN = 12  # words of an item in a row that make a leak
 MIN_SENTENCES = 3  # sentences of an item in a row that make a leak
-MAX_REPLACED = 0.2  # of the words of each of these
+MAX_REPLACED = 0.2  # of the words of each of these: the rest must lie in tiles
+MAX_SEED = 6  # words of a seed, at most
 #: Items are indexed in blocks of this many words; more words, more passes.
 BLOCK_WORDS = 2_000_000
 #: Characters scanned at once; longer documents are scanned alone, whole.
@@ -40,13 +42,23 @@ def sentences(text: str) -> list[list[str]]:
     return [p for p in parts if p]
 
 
-def seed_length(lengths: list[int]) -> int:
-    """Words that the longest untouched run of every sentence has at least, if a share of its words is replaced."""
-    least = MIN_RUN
-    for n in lengths:
-        r = int(n * MAX_REPLACED)
-        least = min(least, -(-(n - r) // (r + 1)))
-    return max(1, min(least, 6))
+def untouched(n: int) -> int:
+    """Words that the longest untouched run of a sentence of ``n`` words has at least, if a share of them is replaced."""
+    r = int(n * MAX_REPLACED)
+    return max(1, -(-(n - r) // (r + 1)))
+
+
+def seed_length(items: list[list[int]]) -> int:
+    """Words in a row that a leak of any item (its sentence lengths) has in common with it at least.
+
+    Of ``MIN_SENTENCES`` in a row one is enough for a seed, so the longest of them counts.
+    An item of fewer sentences leaks by ``MIN_RUN`` words only.
+    """
+    least = MAX_SEED
+    for lengths in items:
+        for i in range(len(lengths) - MIN_SENTENCES + 1):
+            least = min(least, max(map(untouched, lengths[i : i + MIN_SENTENCES])))
+    return max(1, least)
 
 
 @dataclass
@@ -55,19 +67,49 @@ class Item:
     ids: np.ndarray
     bounds: np.ndarray  # starts of its sentences, and its length
 
+    def __post_init__(self) -> None:
+        lengths = np.diff(self.bounds).tolist()
+        #: Words that the longest untouched run of each of its sentences has at least.
+        self.runs = np.array([untouched(x) for x in lengths])
+        self.run_list = self.runs.tolist()
+        self.words, self.bounds_list = self.ids.tolist(), self.bounds.tolist()
+        self.sentence_of = np.repeat(np.arange(len(lengths)), lengths).tolist()
+
+    def seeds_needed(self, k: int) -> int:
+        """Seeds of ``k`` words that any leak of the item has at least."""
+        need = np.maximum(0, self.runs - k + 1)
+        rows = [int(need[i : i + MIN_SENTENCES].sum()) for i in range(len(need) - MIN_SENTENCES + 1)]
+        return max(1, min([MIN_RUN - k + 1, *rows]))
+
+    def may_leak(self, places: np.ndarray, k: int) -> bool:
+        """Do seeds of ``k`` words at these places of the item suffice for a leak? Needs ``MIN_RUN`` words in a row, or in each of some sentences in a row the seeds of its untouched run."""
+        seen = sorted(set(places.tolist()))
+        need = MIN_RUN - k  # further seeds in a row
+        if any(seen[i + need] - seen[i] == need for i in range(len(seen) - need)):
+            return True
+        counts = [0] * len(self.runs)
+        for x in seen:
+            counts[self.sentence_of[x]] += 1
+        row = best = 0
+        for n, r in zip(counts, self.run_list):
+            row = row + 1 if n >= r - k + 1 else 0
+            best = max(best, row)
+        return best >= MIN_SENTENCES
+
 
 class SeedIndex:
     def __init__(self, texts: list[tuple[int, str]]) -> None:
         self.vocabulary: dict[str, int] = {}
         self.items: list[Item] = []
-        lengths = []
+        lengths: list[list[int]] = []
         for item_id, text in texts:
             parts = sentences(text)
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for p in parts for w in p]
             if ids:
                 self.items.append(Item(item_id, np.array(ids, np.int64), np.cumsum([0, *map(len, parts)])))
-                lengths += map(len, parts)
+                lengths.append([len(p) for p in parts])
         self.k = seed_length(lengths) if lengths else 1
+        self.needed = np.array([item.seeds_needed(self.k) for item in self.items], np.int64)
         hashes, where = [], []
         for n, item in enumerate(self.items):
             h = self.roll(item.ids)
@@ -88,8 +130,8 @@ class SeedIndex:
             h = h * _BASE + u[i : i + n]
         return h
 
-    def diagonals(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, diagonal position, seeds): of the concatenated documents ``ids`` (0: a word no item has)."""
+    def seeds(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place in it, place): of every seed that the concatenated documents ``ids`` (0: a word no item has) share with an item."""
         k = self.k
         n = len(ids) - k + 1
         if n <= 0 or not len(self.keys):
@@ -106,54 +148,84 @@ class SeedIndex:
         at, j = at[hit], j[hit]
         times = self.counts[j]
         first = np.repeat(self.starts[j] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
-        pairs = self.where[first]
-        diag = np.repeat(at, times) - pairs[:, 1]
-        key, counts = np.unique(np.stack([pairs[:, 0], diag]), axis=1, return_counts=True)
-        return key[0], key[1], counts
+        return self.where[first, 0], self.where[first, 1], np.repeat(at, times)
+
+
+def _matches(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(size, place in the item, place in the document): all maximal common runs of at least ``least`` words."""
+    n, m = len(item) - least + 1, len(doc) - least + 1
+    if n <= 0 or m <= 0:
+        return []
+    # Karp-Rabin over ``least`` words of both
+    roll = lambda x, k: sum((x[i : i + k].astype(np.uint64) * _BASE ** np.uint64(least - 1 - i) for i in range(least)), np.zeros(k, np.uint64))
+    hi, hd = roll(item, n), roll(doc, m)
+    order = np.argsort(hi, kind="stable")
+    keys = hi[order]
+    left, right = np.searchsorted(keys, hd, "left"), np.searchsorted(keys, hd, "right")
+    times = np.where((doc[:m] > 0), right - left, 0)
+    at = np.repeat(np.arange(m), times)
+    first = np.repeat(left - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
+    return _runs(order[first], at, least)
 
 
-def _runs(same: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+def _runs(inside: np.ndarray, at: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """Seeds of ``k`` words at these places of an item and a document as maximal runs (size, place in the item, place in the document)."""
+    order = np.lexsort((inside, at - inside))
+    inside, at = inside[order], at[order]
+    turn = np.flatnonzero((np.diff(at - inside) != 0) | (np.diff(inside) != 1)) + 1
+    a, b = np.concatenate([[0], turn]), np.concatenate([turn, [len(at)]])
+    return list(zip((b - a + k - 1).tolist(), inside[a].tolist(), at[a].tolist())) if len(at) else []
 
 
-def tile(doc: np.ndarray, item: Item, offsets: list[int], least: int) -> tuple[int, int, int]:
-    """(longest, covered, sentences): of one item in one document, over the given diagonals.
+def tile(doc: np.ndarray, item: Item, least: int, found: list[tuple[int, int, int]] | None = None) -> tuple[int, int, int]:
+    """(longest, covered, sentences): of one item in one document, by its tiles.
 
-    ``longest``: words of the longest tile; ``covered``: words of the item in tiles of at
-    least ``least`` words, marked longest first without overlap in either text;
-    ``sentences``: most sentences of the item in a row with few enough words replaced.
+    Tiles are marked longest first without overlap in either text, down to ``least``
+    words; beside a tile, single words on its diagonal that are still free count with it
+    (what stands between replaced words).  ``longest``: words of the longest tile;
+    ``covered``: words of the item in tiles; ``sentences``: most sentences of the item in a
+    row of which no more than ``MAX_REPLACED`` of the words lie outside all tiles.
     """
-    n = len(item.ids)
-    found: list[tuple[int, int, int]] = []
-    best_row = 0
-    for off in offsets:
-        lo, hi = max(0, -off), min(n, len(doc) - off)
-        if hi <= lo:
-            continue
-        same = np.zeros(n, bool)
-        same[lo:hi] = item.ids[lo:hi] == doc[lo + off : hi + off]
-        found += [(b - a, a, a + off) for a, b in _runs(same) if b - a >= least]
-        total = np.concatenate([[0], np.cumsum(same)])
-        row = 0
-        for a, b in zip(item.bounds[:-1], item.bounds[1:]):
-            inside = a + off >= 0 and b + off <= len(doc)
-            missed = (b - a) - (total[b] - total[a])
-            row = row + 1 if inside and missed <= MAX_REPLACED * (b - a) + 1e-9 else 0
-            best_row = max(best_row, row)
-    longest = max((f[0] for f in found), default=0)
-    in_item, in_doc, covered = np.zeros(n, bool), np.zeros(len(doc), bool), 0
-    queue = sorted(found, key=lambda f: (-f[0], f[1], f[2]))
-    while queue:
-        size, a, d = queue.pop(0)
-        free = ~(in_item[a : a + size] | in_doc[d : d + size])
-        if free.all():
-            in_item[a : a + size] = in_doc[d : d + size] = True
-            covered += size
+    found = _matches(doc, item.ids, least) if found is None else found
+    in_item, in_doc = bytearray(len(item.ids)), set()  # few words are marked, so plain marks beat vectors
+    longest, covered, diagonals = 0, 0, []
+    heap = [(-size, a, d) for size, a, d in found]
+    heapq.heapify(heap)
+    while heap:
+        size, a, d = heapq.heappop(heap)
+        size = -size
+        free = [not in_item[a + i] and d + i not in in_doc for i in range(size)]
+        if all(free):
+            if item.words[a : a + size] != doc[d : d + size].tolist():  # equal hashes of different words
+                continue
+            in_item[a : a + size] = b"\x01" * size
+            in_doc.update(range(d, d + size))
+            longest, covered = max(longest, size), covered + size
+            diagonals.append((a, size, d - a))
         else:  # what is left of a match that was partly taken stays a candidate
-            queue += [(y - x, a + x, d + x) for x, y in _runs(free) if y - x >= least]
-            queue.sort(key=lambda f: (-f[0], f[1], f[2]))
-    return longest, covered, best_row
+            x = 0
+            for y in range(size + 1):
+                if y == size or not free[y]:
+                    if y - x >= least:
+                        heapq.heappush(heap, (x - y, a + x, d + x))
+                    x = y + 1
+    bounds = item.bounds_list
+    for a, size, off in diagonals:  # the words between replaced ones, in the sentences that the tile touches
+        lo = max(bounds[item.sentence_of[a]], -off, 0)
+        hi = min(bounds[item.sentence_of[a + size - 1] + 1], len(doc) - off)
+        for i, w in enumerate(doc[lo + off : hi + off].tolist(), lo):
+            if w == item.words[i] and not in_item[i] and i + off not in in_doc:
+                in_item[i] = 1
+                in_doc.add(i + off)
+    best = row = hope = rest = 0
+    for n, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        held = (b - a) - sum(in_item[a:b]) <= MAX_REPLACED * (b - a) + 1e-9
+        row = row + 1 if held else 0
+        rest = rest + 1 if held or item.run_list[n] < least else 0
+        best, hope = max(best, row), max(hope, rest)
+    if best < MIN_SENTENCES <= hope:  # sentences too short for such tiles may decide
+        return tile(doc, item, max(1, min(item.run_list)))
+    return longest, covered, best
 
 
 def _scan(index: SeedIndex, ids: list[int], texts: list[str]) -> Iterator[tuple]:
@@ -167,26 +239,26 @@ def _scan(index: SeedIndex, ids: list[int], texts: list[str]) -> Iterator[tuple]
         flat += gap
     all_ids = np.array(flat, np.int64)
     begin = np.array([*starts, len(flat)])
-    item, diag, seeds = index.diagonals(all_ids)
-    # a diagonal lies in the document in which its seeds are: use the middle seed's place
+    item, inside, place = index.seeds(all_ids)
     if not len(item):
         return
-    strong = seeds >= min(MIN_SENTENCES, MIN_RUN - index.k + 1)
-    pairs: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for i, d in zip(item[strong].tolist(), diag[strong].tolist()):
-        own = index.items[i]
-        lo, hi = np.searchsorted(begin, max(d, 0), "right") - 1, np.searchsorted(begin, min(d + len(own.ids), len(flat) - 1), "right") - 1
-        for doc in range(lo, min(hi, len(texts) - 1) + 1):
-            pairs[doc, i].append(d - int(begin[doc]))
-    for (doc, i), offs in sorted(pairs.items()):
-        body = all_ids[begin[doc] : begin[doc + 1] - index.k]
-        longest, covered, row = tile(body, index.items[i], offs, index.k)
+    doc = np.searchsorted(begin, place, "right") - 1
+    order = np.lexsort((item, doc))
+    doc, item, inside, place = doc[order], item[order], inside[order], place[order]
+    turn = np.flatnonzero(np.diff(doc) | np.diff(item)) + 1
+    begins, stops = np.concatenate([[0], turn]), np.concatenate([turn, [len(doc)]])
+    enough = stops - begins >= index.needed[item[begins]]
+    for a, b in zip(begins[enough].tolist(), stops[enough].tolist()):
+        d, own = int(doc[a]), index.items[item[a]]
+        if not own.may_leak(inside[a:b], index.k):
+            continue
+        longest, covered, row = tile(all_ids[begin[d] : begin[d + 1] - index.k], own, index.k, _runs(inside[a:b], place[a:b] - begin[d], index.k))
         if longest:
-            yield ids[doc], index.items[i].item_id, longest, covered / len(index.items[i].ids), row
+            yield ids[d], own.item_id, longest, covered / len(own.ids), row
 
 
 def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, longest, coverage, sentences) for every document and item with shared seeds on one diagonal.
+    """(doc_id, item_id, longest, coverage, sentences) for every document and item with enough shared seeds.
 
     ``documents`` is (doc_id, text), ``items`` (item_id, text).  Words are runs of letters
     and digits in lower case, so case, punctuation and spacing do not count.  Null and
@@ -200,10 +272,11 @@ def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
     out = None
     for b in range(blocks):
         part = sized if blocks == 1 else sized.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        texts = [(r.item_id, r.text) for r in part.orderBy("item_id").collect()]
+        # a block has a bounded number of words
+        texts = items.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in part.orderBy("item_id").collect()])
 
         def run(batches: Iterator[pa.RecordBatch], texts=texts) -> Iterator[pa.RecordBatch]:
-            index = SeedIndex(texts)
+            index = SeedIndex(texts.value)
             for batch in batches:
                 ids, body = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 rows: list[tuple] = []
@@ -225,5 +298,5 @@ def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def leaked(found: DataFrame) -> DataFrame:
-    """The pairs of ``tiles`` that are leaks: a long enough run of words, or enough sentences in a row."""
+    """The pairs of ``tiles`` that are leaks: a long enough tile, or enough sentences in a row that tiles cover."""
     return found.where((F.col("longest") >= MIN_RUN) | (F.col("sentences") >= MIN_SENTENCES))

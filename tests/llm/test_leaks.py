@@ -52,5 +52,5 @@ def test_runs_against_brute_force(spark):
 def test_tiling_marks_each_word_once():
     item = L.Item(1, np.arange(1, 21), np.array([0, 20]))
     doc = np.concatenate([np.arange(11, 21), np.arange(1, 11), np.arange(1, 11)])
-    longest, covered, _ = L.tile(doc, item, [-10, 10, 20], 4)
+    longest, covered, _ = L.tile(doc, item, 4)
     assert (longest, covered) == (10, 20)
