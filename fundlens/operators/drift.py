@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundlens.operators.closure import MAX_NAME_LINKS, resolve_names
+from fundlens.session import broadcast_if_small
+
 #: Parameters of the matcher.
 VALUE_HASHES, SHAPE_HASHES = 12, 6
 MAX_STEPS, EPSILON = 60, 1e-3
@@ -28,39 +32,54 @@ MIN_RELATIVE = 0.5  # flooded score against the best partner of either column
 
 FILE = ["dataset", "series", "file_seq"]
 
+#: Masks of the signatures: multiples of the golden ratio in 63 bits.
+_MASKS = [(i + 1) * 0x9E3779B97F4A7C15 % (1 << 63) for i in range(max(VALUE_HASHES, SHAPE_HASHES))]
+
 
 def exploded(feed: DataFrame) -> DataFrame:
     """(FILE, row_no, column_name, kind, value): one row per key of every record.
 
     ``kind`` is the JSON type (integer, decimal, text, list, boolean, object; null for a
     null).  A record that is null or no JSON object has no keys.  ``value`` is the text of
-    the value; of a list, its elements joined by commas.
+    the value; of a list, its elements joined by commas.  The keys of an object within a
+    record are columns of their own, named ``outer.inner``, beside the object itself.
     """
-    v = feed.select("dataset", "series", "file_seq", "feed_id", "row_no", F.try_parse_json("record").alias("_v"))
-    v = v.where("schema_of_variant(_v) like 'OBJECT%'")
-    e = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(*FILE, "feed_id", "row_no", F.col("key").alias("column_name"), F.col("value").alias("_x"))
+    cols = [*FILE, "feed_id", "row_no"]
+    v = feed.select(*cols, "record").withColumn("_v", F.try_parse_json("record")).where("schema_of_variant(_v) like 'OBJECT%'")
+    tvf = v.sparkSession.tvf
+    e = v.lateralJoin(tvf.variant_explode(F.col("_v").outer())).select(*cols, F.col("key").alias("column_name"), F.col("value").alias("_x"))
+    nested = v.where(F.col("record").rlike(r':\s*\{'))  # only such records are taken apart again
+    inner = nested.lateralJoin(tvf.variant_explode(F.col("_v").outer())).select(*cols, F.col("key").alias("_outer"), F.col("value").alias("_w")).where("schema_of_variant(_w) like 'OBJECT%'")
+    inner = inner.lateralJoin(tvf.variant_explode(F.col("_w").outer())).select(*cols, F.concat_ws(".", "_outer", "key").alias("column_name"), F.col("value").alias("_x"))
+    e = e.unionByName(inner)
     t = F.schema_of_variant("_x")
     kind = (
         F.when(t == "VOID", None).when(t == "BOOLEAN", "boolean").when(t == "STRING", "text").when(t.startswith("ARRAY"), "list")
         .when(t.startswith("OBJECT"), "object").when(t.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "decimal").otherwise("integer")
     )
     text = F.when(kind == "list", F.regexp_replace(F.to_json("_x"), r'^\[|\]$|"', "")).when(kind.isNotNull(), F.expr("try_variant_get(_x, '$', 'string')"))
-    return e.select(*FILE, "feed_id", "row_no", "column_name", kind.alias("kind"), text.alias("value"))
+    return e.select(*cols, "column_name", kind.alias("kind"), text.alias("value"))
+
+
+#: JSON types by rank: of a column with values of several in one file the widest counts.
+KINDS = ("boolean", "integer", "decimal", "text", "list", "object")
 
 
 def file_profiles(cells: DataFrame) -> DataFrame:
-    """One row per column of a file.  All aggregates have fixed size and combine before the shuffle."""
+    """One row per column of a file.  All aggregates are numbers of fixed size, so they combine in hash maps before the shuffle.
+
+    A value is hashed once; the signatures are minima of that hash under fixed masks.
+    """
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[0-9]", "9"), r"\p{L}", "a"), "(.)\\1{3,}", "$1$1$1+")
     some = F.col("value") != ""
     digits = F.length(F.regexp_replace("value", "[^0-9]", "")) / F.length("value")
-    sig = lambda c, n, tag: F.array(*(F.min(F.when(some, F.xxhash64(F.lit(f"{tag}{i}"), c))) for i in range(n)))
-    return cells.groupBy(*FILE, "column_name").agg(
-        F.max("kind").alias("kind"),
-        F.avg(F.when(some, F.length("value"))).alias("len"),
-        F.avg(F.when(some, digits)).alias("digits"),
-        sig(F.col("value"), VALUE_HASHES, "v").alias("vsig"),
-        sig(shape, SHAPE_HASHES, "s").alias("ssig"),
-    )
+    rank = F.coalesce(*(F.when(F.col("kind") == k, i) for i, k in enumerate(KINDS)))
+    c = cells.select(*FILE, "column_name", rank.alias("_k"), F.when(some, F.length("value")).alias("_l"), F.when(some, digits).alias("_d"), F.when(some, F.xxhash64("value")).alias("_v"), F.when(some, F.xxhash64(shape)).alias("_s"))
+    sig = lambda col, n: [F.min(F.col(col).bitwiseXOR(F.lit(_MASKS[i]))).alias(f"{col}{i}") for i in range(n)]
+    g = c.groupBy(*FILE, "column_name").agg(F.max("_k").alias("_k"), F.avg("_l").alias("len"), F.avg("_d").alias("digits"), *sig("_v", VALUE_HASHES), *sig("_s", SHAPE_HASHES))
+    kind = F.get(F.array(*(F.lit(k) for k in KINDS)), F.col("_k"))
+    of = lambda col, n: F.array(*(f"{col}{i}" for i in range(n)))
+    return g.select(*FILE, "column_name", kind.alias("kind"), "len", "digits", of("_v", VALUE_HASHES).alias("vsig"), of("_s", SHAPE_HASHES).alias("ssig"))
 
 
 def _carried(p: DataFrame) -> DataFrame:
@@ -78,6 +97,7 @@ def name_tokens(name: str) -> list[str]:
     return [t for t in re.split(r"[^0-9a-z]+", spaced.lower()) if t]
 
 
+@lru_cache(1 << 16)
 def _token_sim(a: str, b: str) -> float:
     if a == b:
         return 1.0
@@ -88,6 +108,7 @@ def _token_sim(a: str, b: str) -> float:
     return len(g(a) & g(b)) / len(g(a) | g(b))
 
 
+@lru_cache(1 << 16)
 def name_similarity(a: str, b: str) -> float:
     ta, tb = name_tokens(a), name_tokens(b)
     if not ta or not tb:
@@ -101,9 +122,9 @@ def value_similarity(p, q) -> float | None:
     """Of two profiles; None if one has no values."""
     if p is None or q is None or p["len"] is None or q["len"] is None or pd.isna(p["len"]) or pd.isna(q["len"]):
         return None
-    same = lambda k: float(np.mean(np.asarray(p[k]) == np.asarray(q[k])))
+    same = lambda k: sum(x == y for x, y in zip(p[k], q[k])) / len(p[k])
     stats = min(p["len"], q["len"]) / max(p["len"], q["len"]) * (1 - abs(p["digits"] - q["digits"]))
-    return float(np.clip(0.4 * stats + 0.6 * max(same("vsig"), same("ssig")), 0, 1))
+    return min(1.0, max(0.0, 0.4 * stats + 0.6 * max(same("vsig"), same("ssig"))))
 
 
 def direct_similarity(a: str, p, b: str, q) -> float:
@@ -118,8 +139,9 @@ def _graph(columns: dict[str, object]) -> dict[str, set[tuple[str, str]]]:
     edges: dict[str, set[tuple[str, str]]] = defaultdict(set)
     for name, p in columns.items():
         c = f"column:{name}"
-        edges["column"].add(("table", c))
-        for t in name_tokens(name):
+        outer, _, inner = name.rpartition(".")
+        edges["nested" if outer else "column"].add((f"column:{outer}" if outer else "table", c))
+        for t in name_tokens(inner):
             edges["token"].add((c, f"token:{t}"))
         if p is not None:
             edges["type"].add((c, f"type:{p['kind']}"))
@@ -148,6 +170,8 @@ def flood(old: dict[str, object], new: dict[str, object]) -> dict[tuple[str, str
                 src += [i, j]
                 dst += [j, i]
                 weight += [1 / (out_a[x1] * out_b[x2]), 1 / (in_a[y1] * in_b[y2])]
+    for x, y in ((f"column:{a}", f"column:{b}") for a in old for b in new):
+        of(x, y)
     start = np.zeros(len(index))
     for (x, y), i in index.items():
         kind, _, a = x.partition(":")
@@ -182,11 +206,11 @@ def match_schemas(old: dict[str, object], new: dict[str, object]) -> list[tuple[
         best[0, a] = max(best[0, a], s)
         best[1, b] = max(best[1, b], s)
     out, used_a, used_b = [], set(), set()
-    order = sorted(scores, key=lambda k: (-scores[k] * direct_similarity(k[0], old[k[0]], k[1], new[k[1]]), k))
-    for a, b in order:
-        if a in used_a or b in used_b or direct_similarity(a, old[a], b, new[b]) < MIN_SCORE:
+    # the settled score decides which pairs go together; that a pair is alike at all is asked of the pair itself
+    for a, b in sorted(scores, key=lambda k: (-scores[k], k)):
+        if a in used_a or b in used_b or scores[a, b] < MIN_RELATIVE * max(best[0, a], best[1, b]):
             continue
-        if scores[a, b] < MIN_RELATIVE * max(best[0, a], best[1, b]):
+        if direct_similarity(a, old[a], b, new[b]) < MIN_SCORE:
             continue
         out.append((a, b))
         used_a.add(a)
@@ -264,18 +288,22 @@ def consistent_table(feed: DataFrame, dataset: str) -> DataFrame:
 
     Renames found between files link column names; a name takes the target it is linked to
     over any number of renames.
-    A value that does not cast to its target's type is null there and kept in ``other``.
+    A value that does not cast to its target's type is null there and kept in ``other``; so
+    is a second value, where two columns of one record come to one target (the column that
+    bears the target's name is the first, else the name that comes first).
     """
-    from fundlens.operators.closure import resolve_names
-
     target = TARGET[dataset]
     own = feed.where(F.col("dataset") == dataset)
     cells = exploded(own)
     names = resolve_names(rename_links(feed, dataset), list(target))
-    j = cells.join(F.broadcast(names), "column_name", "left").withColumn("target", F.coalesce("target", F.when(F.col("column_name").isin(list(target)), F.col("column_name"))))
+    j = cells.join(broadcast_if_small(names, MAX_NAME_LINKS), "column_name", "left").withColumn("target", F.coalesce("target", F.when(F.col("column_name").isin(list(target)), F.col("column_name"))))
     cast = {c: F.expr(f"try_cast(value AS {t})") for c, t in target.items()}
     fits = F.coalesce(*(F.when(F.col("target") == c, cast[c].isNotNull()) for c in target), F.lit(False))
-    aggs = [F.max(F.when(F.col("target") == c, cast[c])).alias(c) for c in target]
-    rest = F.map_from_entries(F.array_sort(F.collect_list(F.when(~fits & F.col("value").isNotNull(), F.struct("column_name", "value")))))
-    wide = j.groupBy("feed_id").agg(*aggs, F.to_json(rest).alias("other"))
+    order = F.struct((F.col("column_name") != F.col("target")).alias("o"), F.col("column_name").alias("c"))
+    firsts = [F.min(F.when((F.col("target") == c) & fits, F.struct(order.alias("order"), cast[c].alias("v")))).alias(c) for c in target]
+    cells = F.collect_list(F.when(F.col("value").isNotNull(), F.struct("column_name", "value", F.when(fits, F.col("target")).alias("t"))))
+    wide = j.groupBy("feed_id").agg(*firsts, cells.alias("_cells"))
+    taken = lambda x: F.coalesce(*(F.when(x["t"] == c, F.col(c)["order"]["c"] == x["column_name"]) for c in target), F.lit(False))
+    rest = F.transform(F.array_sort(F.filter("_cells", lambda x: ~taken(x))), lambda x: F.struct(x["column_name"].alias("key"), x["value"].alias("value")))
+    wide = wide.withColumn("other", F.to_json(F.map_from_entries(rest))).select("feed_id", *(F.col(c)["v"].alias(c) for c in target), "other")
     return own.select("feed_id", "series", "file_seq", "row_no").join(wide, "feed_id", "left")
