@@ -6,8 +6,9 @@ A delivered line is one comma-separated record.  The loader runs per Arrow batch
    could swallow its neighbours and never reaches the CSV reader;
 2. the rest is parsed by ``pyarrow.csv`` with every field read as a string.  Its
    invalid-row callback hands over the lines with a wrong number of fields;
-3. the columns with a rule are tested and cast as vectors, and the first failing rule
-   names the reason.
+3. the columns with a rule are tested as vectors, and the first failing rule names the
+   reason; whole-number columns are cast as vectors, and a sound line whose cell does not
+   fit keeps that cell's text under the name of its column in ``failed``.
 
 Membership rules (a value must be one of a reference list) are joined afterwards, so
 the list is never shipped inside a closure of unknown size.
@@ -16,6 +17,7 @@ the list is never shipped inside a closure of unknown size.
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +36,8 @@ QUOTING = rf"(?s)\A{_FIELD}(?:,{_FIELD})*\z"
 EIN = r"\A(?:[0-9]{9}|[0-9]{2}-[0-9]{7})?\z"
 _WHOLE = r"(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)(?:\.00)?"
 AMOUNT = rf"\A(?: *(?:-? *(?:\$ ?)?|\$ ?- *){_WHOLE} *)?\z"
+#: Cells that are no whole number: column -> text.
+FAILED = pa.map_(pa.string(), pa.string())
 #: More reference values than this are joined by shuffle instead of broadcast.
 MAX_BROADCAST_VALUES = 10_000
 
@@ -97,16 +101,51 @@ def _parse(ids: pa.Array, lines: pa.Array, fmt: RecordFormat) -> pa.Table:
         fails = pc.invert(pc.match_substring_regex(parsed[field].combine_chunks(), pattern))
         reason = pc.if_else(fails, why, reason)
     parsed = parsed.append_column("reason", pa.chunked_array([reason]) if isinstance(reason, pa.Array) else reason)
+    failing: dict[int, list[tuple[str, str]]] = {}
+    for field in fmt.longs:
+        text = parsed[field].combine_chunks()
+        number, fails = _cast(text)
+        parsed = parsed.append_column(f"_n_{field}", number)
+        for i in pc.indices_nonzero(fails).to_pylist():
+            failing.setdefault(i, []).append((field, text[i].as_py()))
+    parsed = parsed.append_column("failed", pa.array([failing.get(i) for i in range(parsed.num_rows)], FAILED))
+    names = [*names, *(f"_n_{f}" for f in fmt.longs)]
     blank = lambda n: pa.nulls(n, pa.string())
     parts = [parsed]
     for which, why in ((bad_ids, "quoting"), (pa.array(rejected, pa.int64()), "column_count")):
         n = len(which)
-        parts.append(pa.table({"_id": which.cast(pa.int64()), **{f: blank(n) for f in fmt.fields}, "reason": pa.array([why] * n, pa.string())}))
-    return pa.concat_tables([p.select([*names, "reason"]) for p in parts]).combine_chunks()
+        parts.append(pa.table({
+            "_id": which.cast(pa.int64()), **{f: blank(n) for f in fmt.fields}, **{f"_n_{f}": pa.nulls(n, pa.int64()) for f in fmt.longs},
+            "reason": pa.array([why] * n, pa.string()), "failed": pa.nulls(n, FAILED),
+        }))
+    return pa.concat_tables([p.select([*names, "reason", "failed"]) for p in parts]).combine_chunks()
+
+
+def _cast(text: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(whole numbers, which cells fail): of a column of texts; empty cells are null and sound.
+
+    A number of up to 18 digits always fits and is cast with its column; longer ones are tried one by one.
+    """
+    digits = pc.replace_substring_regex(pc.replace_substring_regex(text, r"\.00 *\z", ""), r"[$, ]", "")
+    empty = pc.equal(digits, "")
+    plain = pc.match_substring_regex(digits, r"\A-?[0-9]{1,18}\z")
+    number = pc.if_else(plain, digits, None).cast(pa.int64())
+    odd = pc.and_(pc.invert(empty), pc.invert(plain))
+    if pc.any(odd).as_py():
+        values, still = number.to_pylist(), odd.to_pylist()
+        for i in pc.indices_nonzero(odd).to_pylist():
+            s = digits[i].as_py()
+            if re.fullmatch(r"-?[0-9]+", s) and -(1 << 63) <= int(s) < 1 << 63:
+                values[i], still[i] = int(s), False
+        number, odd = pa.array(values, pa.int64()), pa.array(still, pa.bool_())
+    return number, odd
 
 
 def parse_lines(lines: DataFrame, fmt: RecordFormat, id_col: str = "line_id", line_col: str = "line") -> DataFrame:
-    """One row per line: the id, every field as string (null in a rejected line), ``reason`` (null if sound).
+    """One row per line: the id, every field as string (null in a rejected line), ``reason`` (null if sound), the cast whole numbers and ``failed``.
+
+    ``failed`` maps a column of whole numbers to its text where that is none, or none that
+    fits 64 bits; null if all cells fit.
 
     Null and empty lines have one empty field and are rejected as ``column_count``.
     Extra columns of ``lines`` are ignored.  An empty input gives an empty result.
@@ -117,7 +156,7 @@ def parse_lines(lines: DataFrame, fmt: RecordFormat, id_col: str = "line_id", li
             if b.num_rows:
                 yield from _parse(b.column(0).cast(pa.int64()), b.column(1).cast(pa.string()), fmt).to_batches()
 
-    schema = T.StructType([T.StructField("_id", T.LongType()), *(T.StructField(f, T.StringType()) for f in fmt.fields), T.StructField("reason", T.StringType())])
+    schema = T.StructType([T.StructField("_id", T.LongType()), *(T.StructField(f, T.StringType()) for f in fmt.fields), *(T.StructField(f"_n_{f}", T.LongType()) for f in fmt.longs), T.StructField("reason", T.StringType()), T.StructField("failed", T.MapType(T.StringType(), T.StringType()))])
     out = lines.select(F.col(id_col).cast("long").alias("_id"), F.col(line_col).cast("string").alias("_line")).mapInArrow(run, schema)
     return out.withColumnRenamed("_id", id_col)
 
@@ -133,10 +172,9 @@ def require_member(parsed: DataFrame, field: str, allowed: DataFrame, allowed_co
 
 
 def typed(parsed: DataFrame, fmt: RecordFormat) -> DataFrame:
-    """The sound rows with whole-number fields cast to BIGINT (empty to null)."""
+    """The sound rows with whole-number fields as BIGINT (empty to null); ``failed`` holds as JSON the text of every cell that is no such number."""
     ok = parsed.where(F.col("reason").isNull()).drop("reason")
-    digits = lambda c: F.regexp_replace(F.regexp_replace(c, r"\.00 *$", ""), r"[$, ]", "")
-    return ok.withColumns({c: F.expr(f"try_cast(nullif(`{c}`, '') AS BIGINT)") if fmt.dataset == "capital" else F.nullif(digits(F.col(c)), F.lit("")).try_cast("bigint") for c in fmt.longs})
+    return ok.withColumns({c: F.col(f"_n_{c}") for c in fmt.longs}).withColumn("failed", F.to_json("failed")).drop(*(f"_n_{c}" for c in fmt.longs))
 
 
 @dataclass(frozen=True)
