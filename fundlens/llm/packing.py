@@ -9,6 +9,7 @@ in the size of its texts) that still has room.
 
 from __future__ import annotations
 
+import ast
 import base64
 import os
 from collections.abc import Iterator
@@ -25,23 +26,20 @@ CAPACITY = 2048
 #: Cost of a text of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1 / 4096
 #: Pieces packed in one task, about.
-SHARD_PIECES = 20_000
+SHARD_PIECES = 8_000
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 TOKENIZER_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def load_tokenizer(path: str):
     """A tiktoken encoding from a rank file; its pre-split pattern stands beside it as ``PATTERN``."""
-    import importlib.util
-
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_tokenizer_files", os.path.join(os.path.dirname(path), "__init__.py"))
-    mod = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(mod)
+    with open(os.path.join(os.path.dirname(path), "__init__.py"), encoding="utf-8") as f:  # read, not run
+        stated = [n.value for n in ast.parse(f.read()).body if isinstance(n, ast.Assign) and any(isinstance(t, ast.Name) and t.id == "PATTERN" for t in n.targets)]
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=mod.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=ast.literal_eval(stated[0]), mergeable_ranks=ranks, special_tokens={})
 
 
 def token_sizes(documents: DataFrame, path: str | None = None) -> DataFrame:
@@ -103,4 +101,5 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, tokenizer: str | None =
 
     shard = F.pmod(F.xxhash64("doc_id", "part"), F.lit(shards)).cast("int").alias("shard")
     schema = "doc_id bigint, part int, first_token bigint, n_tokens bigint, container bigint, at bigint"
-    return p.select(shard, "doc_id", "part", "n").groupBy("shard").applyInPandas(run, schema)
+    # as many tasks as shards: small pieces are dear to pack, and would else be put into one task
+    return p.select(shard, "doc_id", "part", "n").repartition(shards, "shard").groupBy("shard").applyInPandas(run, schema)
