@@ -109,3 +109,23 @@ r AS (SELECT line_id, CASE WHEN NOT quoted THEN 'quoting'
 SELECT line_id, reason FROM r WHERE reason IS NOT NULL""",
 }
 ORACLES["p2_reasons"] = f"SELECT reason, count(*) AS n FROM ({ORACLES['p2_found']}) GROUP BY reason"
+
+_CUT = r"""l AS (SELECT line_id, dataset, coalesce(line, '') AS line FROM raw_lines WHERE dataset = '{0}'),
+x AS (SELECT line_id, list_transform(regexp_extract_all(',' || line, '(?s),("(?:[^"]|"")*"|[^",]*)', 1), lambda c: CASE WHEN c LIKE '"%' THEN replace(substr(c, 2, len(c) - 2), '""', '"') ELSE c END) AS c FROM l),
+bad AS (""" + ORACLES["p2_found"] + "),\nok AS (SELECT * FROM x WHERE line_id NOT IN (SELECT line_id FROM bad))"
+_DIGITS = "regexp_replace(regexp_replace({0}, '[.]00 *$', ''), '[$, ]', '', 'g')"
+
+
+def _loaded(dataset: str, fmt: rejects.RecordFormat) -> str:
+    """Sound rows: texts as they stand, whole numbers cast, and as JSON what does not cast."""
+    cols, failed = [], []
+    for i, f in enumerate(fmt.fields, 1):
+        n = _DIGITS.format(f"c[{i}]")
+        cols.append(f"TRY_CAST(CASE WHEN regexp_full_match({n}, '-?[0-9]+') THEN {n} END AS BIGINT) AS {f}" if f in fmt.longs else f"c[{i}] AS {f}")
+        if f in fmt.longs:
+            failed.append(f"""CASE WHEN {n} <> '' AND TRY_CAST(CASE WHEN regexp_full_match({n}, '-?[0-9]+') THEN {n} END AS BIGINT) IS NULL THEN '"{f}":' || to_json(c[{i}])::VARCHAR END""")
+    return f"WITH {_CUT.replace("{0}", dataset)} SELECT line_id, {', '.join(cols)}, '{{' || nullif(concat_ws(',', {', '.join(failed)}), '') || '}}' AS failed FROM ok"
+
+
+ORACLES["p2_awards"] = _loaded("awards", rejects.AWARDS_FORMAT)
+ORACLES["p2_capital"] = _loaded("capital", rejects.CAPITAL_FORMAT)
