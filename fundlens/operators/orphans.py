@@ -3,10 +3,10 @@
 Both sides are change deltas on a key: a referring row adds one reference, an entry adds
 one existence when it is loaded and takes it away when it is withdrawn.  Their sums per
 key are the state; a key with references and no existence is an orphan.  For the report
-as of each row's own time both counts run in time: the references of a key by day, its
-existence in spans during which the count was positive.  Only days on which a key has
-references while its existence is not positive throughout are orphan days, and only their
-rows are looked at again.
+as of each row's own time the existence of a key is folded into the spans during which its
+count was positive.  Only keys with a positive count of references whose existence is not
+positive from the first of them to the last have orphans, and only their rows are looked
+at again.
 """
 
 from __future__ import annotations
@@ -69,15 +69,15 @@ def _status(t: Column) -> Column:
 
 
 def reference_deltas(refs: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """(keys, day, refs, first, last): the signed references of each key by day, summed before the shuffle; a null day for rows without a time."""
-    return refs.groupBy(*keys, F.to_date(at).alias("_day")).agg(F.count(F.lit(1)).alias("refs"), F.min(at).alias("_first"), F.max(at).alias("_last"))
+    """(keys, refs, first, last): the signed references of each key, summed before the shuffle, and the time they span."""
+    return refs.groupBy(*keys).agg(F.count(F.lit(1)).alias("refs"), F.min(at).alias("_first"), F.max(at).alias("_last"), F.count_if(F.col(at).isNull()).alias("_timeless"))
 
 
-def orphan_days(refs: DataFrame, state: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """(keys, day, spans, first_loaded, hit): the days on which a key has a positive count of references and its existence is not positive from the first of them to the last."""
+def orphan_keys(refs: DataFrame, state: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """(keys, spans, first_loaded, hit): keys with a positive count of references whose existence is not positive from the first of them to the last."""
     d = reference_deltas(refs, keys, at).where("refs > 0").join(state, list(keys), "left")
     whole = F.exists("spans", lambda x: (x["s"] <= F.col("_first")) & (x["e"].isNull() | (F.col("_last") < x["e"])))
-    return d.where(~F.coalesce(whole, F.lit(False))).select(*keys, "_day", "spans", "first_loaded", "_hit")
+    return d.where((F.col("_timeless") > 0) | ~F.coalesce(whole, F.lit(False))).select(*keys, "spans", "first_loaded", "_hit")
 
 
 def label_orphans(refs: DataFrame, entries: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
@@ -86,18 +86,15 @@ def label_orphans(refs: DataFrame, entries: DataFrame, keys: Sequence[str], at:
     ``missing``: the key has no entry; ``deleted``: some entry was loaded by then; ``late``:
     all were loaded later.  A null key refers to nothing and gives no row.  A row without a
     time finds nothing on file: it is ``missing`` or ``late``.  Repeated entries and
-    repeated references are counted as they stand.  The counts have one row per key and
-    day, so a hot key never multiplies rows; the join is left to AQE, which broadcasts the
-    orphan days at run time if they are few and splits skewed keys if not.
+    repeated references are counted as they stand.  The counts have one row per key, so a
+    hot key never multiplies rows; the join is left to AQE, which broadcasts the orphan
+    keys at run time if they are few and splits skewed keys if not.
     """
     state = on_file_spans(entries, keys).withColumn("_hit", F.lit(1))
     asked = refs
     for k in keys:
         asked = asked.where(F.col(k).isNotNull())
-    days = orphan_days(asked, state, keys, at)
-    asked = asked.withColumn("_on", F.to_date(at))
-    same = [asked[k] == days[k] for k in keys] + [asked["_on"].eqNullSafe(days["_day"])]
-    out = asked.join(days, same).select(*(asked[c] for c in refs.columns), "spans", "first_loaded", "_hit")
+    out = asked.join(orphan_keys(asked, state, keys, at), list(keys)).select(*refs.columns, "spans", "first_loaded", "_hit")
     out = out.withColumn("status", _status(F.col(at)))
     return out.where("status is not null").select(*refs.columns, "status")
 
