@@ -23,18 +23,15 @@ def mapped(spark, d) -> DataFrame:
     tables = {}
     for kind, (table, raw, settled) in CROSSWALKS.items():
         t = rt(spark, d, table)
-        tables[kind] = t.select("raw_id", F.col(raw).alias("raw"), F.col(settled).alias("canonical"), (F.col("initiative") if "initiative" in t.columns else F.lit("")).alias("context"))
+        tables[kind] = t.select("raw_id", F.col(raw).alias("raw"), F.col(settled).alias("canonical"))
     pairs = canonmap.labelled(reduce(DataFrame.unionByName, tables.values()))
     parts = []
     for kind, t in tables.items():
         own = canon.where(F.col("kind") == kind).select("canon_id", F.col("canonical_name").alias("name"))
         todo = t.where("coalesce(canonical, '') = ''")
         found = canonmap.map_values(todo, own, pairs)
-        # a joined label settled for one initiative holds for the open rows of that initiative
-        joined = t.where("canonical <> '' and raw like '%/%' and context <> ''").join(own, F.col("canonical") == F.col("name")).groupBy("raw", "context").agg(F.min("canon_id").alias("settled_id"))
-        j = todo.join(found, F.coalesce(todo["raw"], F.lit("")) == F.coalesce(found["raw"], F.lit("")), "left").select(todo["raw_id"], todo["raw"], "context", "canon_id", "score").dropDuplicates(["raw_id"])
-        j = j.join(joined, ["raw", "context"], "left")
-        parts.append(j.select(F.lit(kind).alias("kind"), "raw_id", "raw", F.coalesce("settled_id", "canon_id", F.lit(0)).alias("canon_id"), "score"))
+        j = todo.join(found, F.coalesce(todo["raw"], F.lit("")) == F.coalesce(found["raw"], F.lit("")), "left").select(todo["raw_id"], todo["raw"], "canon_id", "score").dropDuplicates(["raw_id"])
+        parts.append(j.select(F.lit(kind).alias("kind"), "raw_id", "raw", F.coalesce("canon_id", F.lit(0)).alias("canon_id"), "score"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -73,6 +73,12 @@ def near(a: str, b: str) -> bool:
     return bool(limit) and slips(a, b, limit) <= limit
 
 
+def _shortened(t: str) -> set[str]:
+    """``t`` without up to as many letters as ``near`` allows slips: two tokens that are near have one of these in common."""
+    one = {t[:i] + t[i + 1 :] for i in range(len(t))}
+    return {t, *one, *(u[:i] + u[i + 1 :] for u in (one if len(t) >= 7 else ()) for i in range(len(u)))}
+
+
 def abbreviates(short: str, long: str) -> bool:
     """``short`` begins ``long``, or has its first letter and the rest in order within it."""
     if not 2 <= len(short) < len(long) or short[0] != long[0] or len(short) > len(long) * 2 / 3 + 1:
@@ -167,16 +173,21 @@ class Matcher:
         self.lex, self.idf, self.top_idf = lex, idf, top_idf
         self.vocabulary = {t for _, name in entries for t in words(name)}
         self.known = self.vocabulary | lex.noise
+        self.near_words: dict[str, list[str]] = defaultdict(list)
+        for t in sorted(self.vocabulary | lex.noise | {w for p in lex.rewrites for w in p}):
+            for x in _shortened(t):
+                self.near_words[x].append(t)
         self.by_first = defaultdict(list)
         for t in sorted(self.vocabulary):
             self.by_first[t[0]].append(t)
-        self.phrase_words = {w for p in lex.rewrites for w in p}
         self.ids = [i for i, _ in entries]
         self.words = [set(words(name)) for _, name in entries]
         self.index: dict[str, list[tuple[int, float]]] = defaultdict(list)
+        self.entries: list[dict[str, float]] = []
         self.initials: dict[str, list[int]] = defaultdict(list)
         for k, (_, name) in enumerate(entries):
-            for g, w in self.vector(dict.fromkeys(words(name))).items():
+            self.entries.append(self.vector(dict.fromkeys(words(name))))
+            for g, w in self.entries[-1].items():
                 self.index[g].append((k, w))
             m = _INITIALS.search(name)
             own = m.group(1).lower() if m else "".join(w[0] for w in words(name)) if len(words(name)) > 2 else ""
@@ -227,7 +238,7 @@ class Matcher:
         return self.cache[t]
 
     def _token(self, t: str) -> list[str]:
-        like = sorted((slips(t, x, 2), x[0] != t[0], x) for x in self.vocabulary | self.phrase_words | self.lex.noise if near(t, x))
+        like = sorted((slips(t, x, 2), x[0] != t[0], x) for x in {w for y in _shortened(t) for w in self.near_words.get(y, ())} if near(t, x))
         if like:
             return [like[0][2]]
         short = [x for x in self.by_first[t[0]] if abbreviates(t, x)]
@@ -266,10 +277,9 @@ class Matcher:
             for k, x in self.index[g]:
                 scores[k] += w * x
         scores = {k: s for k, s in scores.items() if s >= MIN_COSINE}
-        for k in hits:  # initials name an entry if no other word speaks against it
-            odd = sum(self.weight(t) for t in named if t not in self.words[k])
-            if odd <= 2 * OPTIONAL_WEIGHT or scores.get(k, 0) >= THRESHOLD - 0.2:
-                scores[k] = max(scores.get(k, 0), 1.0) + 0.1
+        for k in hits:  # initials are read as the words they stand for
+            read = self.vector(dict.fromkeys([*named, *sorted(self.words[k])]))
+            scores[k] = max(scores.get(k, 0), sum(w * read.get(g, 0.0) for g, w in self.entries[k].items()))
         two = sorted(scores.items(), key=lambda kv: (-kv[1], self.ids[kv[0]]))[:2]
         if not two:
             return 0.0, 0, 0.0
@@ -293,7 +303,8 @@ def map_values(values: DataFrame, canon: DataFrame, pairs: list[tuple[str, str]]
     """
     entries = canon.select("canon_id", "name").where("name <> ''")
     n = entries.count()
-    raw = values.select("raw").distinct()
+    # a number of tasks of its own: few and small values are dear to match, and would else be put into one task
+    raw = values.select("raw").distinct().repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if n == 0:
         return raw.select("raw", F.lit(0).cast("long").alias("canon_id"), F.lit(0.0).alias("score"))
     blocks = math.ceil(n / BLOCK_ENTRIES)
@@ -307,10 +318,10 @@ def map_values(values: DataFrame, canon: DataFrame, pairs: list[tuple[str, str]]
     idf = {t: math.log(1 + n / c) for t, c in counts.items()}
     lex = learn(pairs, set(counts) | {t for _, c in pairs for t in words(c)})
     for own in held:
-        data = (own, {t: idf[t] for _, name in own for t in words(name)}, lex, math.log(1 + n))
+        data = values.sparkSession.sparkContext.broadcast((own, {t: idf[t] for _, name in own for t in words(name)}, lex, math.log(1 + n)))
 
         def run(batches: Iterator[pd.DataFrame], data=data) -> Iterator[pd.DataFrame]:
-            m = Matcher(*data)
+            m = Matcher(*data.value)
             for pdf in batches:
                 got = [m.best(x or "") for x in pdf["raw"]]
                 yield pd.DataFrame({"raw": pdf["raw"], "score": [g[0] for g in got], "canon_id": [g[1] for g in got], "second": [g[2] for g in got]})
