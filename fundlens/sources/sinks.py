@@ -30,9 +30,9 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], single: bool = False, crlf: bool = False) -> None:
-    """RFC 4180 in the declared column order; absent columns and nulls are empty."""
+    """RFC 4180 in the declared column order; absent columns and nulls are empty, blanks around a cell belong to it."""
     out = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns))
-    w = (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
+    w = (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     (w.option("lineSep", "\r\n") if crlf else w).csv(path)
 
 
