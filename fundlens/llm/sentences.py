@@ -71,6 +71,8 @@ _SHORT = re.compile(rf"{_L}{{1,6}}")
 #: Occurrences from which on the corpus has something to say (of an ordinary word as many would show an end of a paragraph
 #: or a word that begins sentences behind it), and the shares that decide.
 MIN_EVIDENCE, MOST, SOME, HARDLY = 10, 0.7, 0.2, 0.03
+#: Different tokens counted in memory by one task before they are handed on.
+HELD_TOKENS = 500_000
 _THAI = re.compile("[฀-๿]")
 _THAI_GAP = re.compile(r"\s+")
 QUOTES = "“«「『\""
@@ -371,10 +373,19 @@ def follows(mark: str, end: str, ch: str, rest: str) -> str:
     return "o" if ch.isalpha() else "l"
 
 
+def _bare_forms(bare: Counter) -> Counter:
+    """(token, "b") -> n of tokens counted as they are spelled."""
+    out: Counter = Counter()
+    for t, n in bare.items():
+        out[form(t), "b"] += n
+    return out
+
+
 def corpus_evidence(documents: DataFrame) -> dict[str, str]:
     """token -> before, reference, number, after or abbreviation (see ``Document.kind``), for the short tokens that behave as abbreviations over all documents.
 
-    Every document and every token is counted, those of the lists too.  A token that
+    Every document and every token is counted, those of the lists and those of documents
+    without a period too, so the way rows are divided over tasks does not matter.  A token that
     stands nearly always with its period, or before a number, is an abbreviation; what
     follows it, and how often it closes a line or stands before a word that begins
     sentences, says of which sort.  Shares decide, so the size of the corpus does not.
@@ -382,21 +393,25 @@ def corpus_evidence(documents: DataFrame) -> dict[str, str]:
     as many as the languages of the corpus have of up to six letters, not as many as words.
     """
 
+    def told(n: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["token", "kind", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
         bare: Counter = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                bare.update(map(form, _BARE.findall(t)))
-                for token, mark, end, ch, rest in _EVIDENCE.findall(t):
-                    n[form(token), follows(mark, end, ch, rest)] += 1
-        for token in {k for k, _ in n}:
-            if bare[token]:
-                n[token, "b"] = bare[token]
-        # words that never stand before a period say nothing
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["token", "kind", "n"])
-
-    c = documents.where("text like '%.%'").select("text").mapInArrow(run, "token string, kind string, n bigint")
+                bare.update(_BARE.findall(t))
+                if "." in t:
+                    for token, mark, end, ch, rest in _EVIDENCE.findall(t):
+                        n[form(token), follows(mark, end, ch, rest)] += 1
+            if len(bare) + len(n) > HELD_TOKENS:
+                yield told(n + _bare_forms(bare))
+                bare.clear()
+                n.clear()
+        yield told(n + _bare_forms(bare))
+
+    c = documents.where("text <> ''").select("text").mapInArrow(run, "token string, kind string, n bigint")
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
     g = c.groupBy("token").agg(*(of(k).alias(k) for k in "ldusoeb")).withColumn("n", F.expr("l + d + u + s + o + e")).where(F.col("n") >= MIN_EVIDENCE)
     share = lambda x: F.col("n") * F.lit(x)

@@ -45,3 +45,15 @@ def test_table(spark):
         by.setdefault(r.doc_id, []).append((r.start_pos, r.end_pos))
     assert set(by) == {1, 5, 6} and sorted(by[1]) == sorted(by[5]) == [(1, 4), (6, 9)] and len(by[6]) == 20_000
     assert S.units(df.limit(0)).count() == 0
+
+
+def test_corpus_counts_every_document(spark, monkeypatch):
+    stops = [("They saw the Zob. Marten house.",)] * 12
+    bare = [("a zob in the garden",)] * 60 + [("A zob again. It left.",)] * 60
+    before = lambda rows, tasks: S.corpus_evidence(spark.createDataFrame(rows, "text string").repartition(tasks)).get("zob")
+    assert before(stops, 1) == "before"
+    assert before(stops + bare[:60], 1) is None  # documents without a period
+    apart = spark.createDataFrame(stops, "text string").coalesce(1).union(spark.createDataFrame(bare[60:], "text string").coalesce(1))
+    assert "zob" not in S.corpus_evidence(apart)  # other tasks
+    monkeypatch.setattr(S, "HELD_TOKENS", 3)
+    assert before(stops + bare, 2) is None and before(stops + [(None,), ("",)], 2) == "before"
