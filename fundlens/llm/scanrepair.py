@@ -21,6 +21,7 @@ import random
 import re
 import sqlite3
 import tempfile
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 MIN_COUNT, MAX_WORDS = 3, 1_000_000
 #: Words that look like one this many times as frequent are no examples to train on.
 SUSPECT_RATIO = 12
-#: Words (by count, the most frequent) that the editor is trained on, at most.
-MAX_TRAINING_WORDS = 3_000
-#: Texts that page furniture is put into for training, at most (the smallest by hash, so the same at every run).
-MAX_SAMPLE = 300
+#: Words of which the examples are held in memory at once while training; all known words are trained on.
+TRAINING_WORDS = 3_000
+#: Pieces of page furniture put into all texts for training, together; more texts take one each.
+PIECES = 20_000
 EPOCHS = 5
 #: Readings of one word that are followed side by side.
 BEAM = 64
@@ -187,6 +188,11 @@ class Counts(dict):
             n = self.memo[word] = row[0] if row else 0
         return n or default
 
+    def everything(self) -> Iterator[tuple[str, int]]:
+        """Every word with its count, those of the file too."""
+        yield from self.items()
+        yield from sqlite3.connect(SparkFiles.get(self.rest)).execute("select word, n from words")
+
     def __contains__(self, word: object) -> bool:
         return self.get(word) > 0
 
@@ -586,14 +592,15 @@ class Model:
 # ------------------------------------------------------------------ training
 
 
-def train(model: Model, sample: Sequence[str] = (), seed: int = 7) -> None:
-    """Averaged perceptron over readings of words that were corrupted with the look-alike table, of cut words, and of page furniture put into the ``sample``.
+def train(model: Model, furniture: Sequence[tuple[list[str], bool, int]] = (), seed: int = 7) -> None:
+    """Averaged perceptron over readings of all known words, corrupted with the look-alike table, of cut words, and of page ``furniture`` (features, is it any, times seen).
 
     Every second example hides the word counts, so the editor also learns from letters alone.
     """
     rng = random.Random(seed)
-    vocabulary = [w for w, n in sorted(model.counts.items(), key=lambda kv: (-kv[1], kv[0])) if len(w) > 2 and w.isalpha() and w.isascii() and not _suspect(model, w)]
-    words = vocabulary[:MAX_TRAINING_WORDS]
+    known = model.counts.everything() if isinstance(model.counts, Counts) else model.counts.items()
+    vocabulary = [w for w, n in sorted(known, key=lambda kv: (-kv[1], kv[0])) if len(w) > 2 and w.isalpha() and w.isascii() and not _suspect(model, w)]
+    words = vocabulary
     pairs: Counter = Counter()
     for w in words:
         for i in range(len(w) + 1):
@@ -603,24 +610,35 @@ def train(model: Model, sample: Sequence[str] = (), seed: int = 7) -> None:
     weights: dict[str, float] = defaultdict(float)
     sums: dict[str, float] = defaultdict(float)
     model.weights = weights
-    examples: list[tuple] = []
-    for w in words:
-        n = model.counts[w]
-        shape = rng.choice((str.lower, str.title, str.upper))
-        true = shape(w)
-        examples.append(("edit", true, true, rng.random() < 0.5, None))
-        spots = [(i, t, s) for t, s in LOOK_ALIKE for i in range(len(true) - len(t) + 1) if true[i : i + len(t)] == t and (s, t) not in (("e", "c"), ("E", "F"), ("g", "q"))]
-        if spots:
-            i, t, s = rng.choice(spots)
-            read = true[:i] + s + true[i + len(t) :]
-            examples.append(("edit", read, true, rng.random() < 0.5, rng.choice((0, 0, n // 20, n // 40))))  # a frequent misreading has a count of its own
-            if not set(read) & ODD:  # a word that is not much rarer is another word
-                examples += [("edit", read, read, False, max(1, n // rng.choice((2, 4, 6)))), ("edit", read, read, False, n * rng.choice((1, 5, 40)))]
-        examples += _cuts(model, rng, w, words, vocabulary)
-    for t in sample:
-        examples += _furniture(model, rng, t)
+    order = rng.sample(words, len(words)) if len(words) > TRAINING_WORDS else words
+    parts = [order[i : i + TRAINING_WORDS] for i in range(0, len(order), TRAINING_WORDS)] or [[]]
+    seen = sum(n for *_, n in furniture)
+    # the corpus says in which share each piece is met, not how many there are
+    put = [("join", feats, is_any) for feats, is_any, n in furniture for _ in range(max(1, round(n * min(1.0, PIECES / seen))))]
+
+    def made(k: int) -> list[tuple]:
+        """The examples of the k-th part of the words, the same at every call, and its share of the furniture."""
+        part, rng = parts[k], random.Random(seed * 1_000_003 + k)
+        examples: list[tuple] = []
+        for w in part:
+            n = model.count(w)
+            shape = rng.choice((str.lower, str.title, str.upper))
+            true = shape(w)
+            examples.append(("edit", true, true, rng.random() < 0.5, None))
+            spots = [(i, t, s) for t, s in LOOK_ALIKE for i in range(len(true) - len(t) + 1) if true[i : i + len(t)] == t and (s, t) not in (("e", "c"), ("E", "F"), ("g", "q"))]
+            if spots:
+                i, t, s = rng.choice(spots)
+                read = true[:i] + s + true[i + len(t) :]
+                examples.append(("edit", read, true, rng.random() < 0.5, rng.choice((0, 0, n // 20, n // 40))))  # a frequent misreading has a count of its own
+                if not set(read) & ODD:  # a word that is not much rarer is another word
+                    examples += [("edit", read, read, False, max(1, n // rng.choice((2, 4, 6)))), ("edit", read, read, False, n * rng.choice((1, 5, 40)))]
+            examples += _cuts(model, rng, w, words, vocabulary)
+        return examples + put[k :: len(parts)]
+
+    held = made(0) if len(parts) == 1 else None
     step = 0
-    for _ in range(EPOCHS):
+    for k in list(range(len(parts))) * EPOCHS:
+        examples = held or made(k)
         rng.shuffle(examples)
         for kind, *x in examples:
             step += 1
@@ -643,13 +661,18 @@ def train(model: Model, sample: Sequence[str] = (), seed: int = 7) -> None:
 #: Page numbers in print form, and ways a text speaks of a page.
 PRINTED = ("Page {}", "Page {} of {}", "~ {} ~", "~{}~", "[{}]", "- {} -", "p. {}", "{}")
 SPOKEN = ("see page {} of the plan", "See Page {} of the plan", "per page {}", "as on page {} and after", "Page {} of the report says", "page {} to", "from page {}", "on Page {} of the list")
+#: Every way to put one of them into a text: (form, place, is it a header).
+_WAYS = [*((x, k, False) for x in PRINTED for k in range(4 if x in ("{}", "p. {}") else 7)), *((x, k, False) for x in SPOKEN for k in range(3))]
 
 
-def _furniture(model: Model, rng: random.Random, text: str) -> list[tuple]:
-    """Examples of furniture: numbers and headers put into a text between its words or lines, and pages that it speaks of."""
+def _furniture(model: Model, text: str, most: int) -> list[tuple[list[str], bool]]:
+    """(features, is it any) of furniture: numbers and headers put into a text between its words or lines, and pages that it speaks of; ``most`` of the ways to do so, by the text alone."""
     words = text.split()
     if len(words) < 6 or model.furniture_candidates(text):
         return []
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    ways = [*_WAYS, *((h, k, True) for h in rng.sample(model.headers, min(3, len(model.headers))) for k in range(5))]
+    ways = rng.sample(ways, most) if most < len(ways) else ways
     out: list[tuple] = []
 
     def put(piece: str, before: str, after: str, at: int, is_furniture: bool, shown: str) -> None:
@@ -657,37 +680,27 @@ def _furniture(model: Model, rng: random.Random, text: str) -> list[tuple]:
         start = len(" ".join(words[:at]) + before) + piece.find(shown)
         # only what is a candidate is ever asked
         if any(x <= start < y for x, y in model.furniture_candidates(made)):
-            out.append(("join", model.place_features(made, start, start + len(shown)), is_furniture))
+            out.append((model.place_features(made, start, start + len(shown)), is_furniture))
 
-    for form in PRINTED:
-        n = form.format(rng.randint(1, 400), rng.randint(401, 900)) if form.count("{}") == 2 else form.format(rng.randint(1, 400))
+    for form, k, header in ways:
         at = rng.randint(2, len(words) - 2)
-        put(n, "\n", "\n", at, True, n)
-        put(n, "-\n\n" if rng.random() < 0.3 else "\n", "\n", at, True, n)
-        put(n, "", "\n", 0, True, n)
-        put(n, "\n", "", len(words), True, n)
-        if not n.isdigit() and not n.startswith("p."):
-            put(n, " ", " ", at, True, n)
-            put(n, " ", "", len(words), True, n)
-            put(n, "", " ", 0, True, n)
-    for form in SPOKEN:
-        n = rng.randint(1, 400)
-        shown = re.search(r"[Pp]age \d+", form.format(n)).group()
-        for before, after in ((" ", " "), ("\n", " "), (" ", "\n")):
-            put(form.format(n), before, after, rng.randint(2, len(words) - 2), False, shown)
-    for h in rng.sample(model.headers, min(3, len(model.headers))):
-        h = h.replace("#", str(rng.randint(1, 9)))
-        for before, after in (("\n", "\n"), (" ", " "), ("\n", " ")):
-            put(h, before, after, rng.randint(2, len(words) - 2), True, h)
-        put(h, "", "\n", 0, True, h)
-        put(h, "\n", "", len(words), True, h)
+        if header:
+            h = form.replace("#", str(rng.randint(1, 9)))
+            put(h, *((("\n", "\n", at), (" ", " ", at), ("\n", " ", at), ("", "\n", 0), ("\n", "", len(words)))[k]), True, h)
+        elif form in SPOKEN:
+            piece = form.format(rng.randint(1, 400))
+            put(piece, *((" ", " "), ("\n", " "), (" ", "\n"))[k], at, False, re.search(r"[Pp]age \d+", piece).group())
+        else:
+            n = form.format(*(rng.randint(*((1, 400), (401, 900))[i]) for i in range(form.count("{}"))))
+            cut = "-\n\n" if rng.random() < 0.3 else "\n"
+            put(n, *((("\n", "\n", at), (cut, "\n", at), ("", "\n", 0), ("\n", "", len(words)), (" ", " ", at), (" ", "", len(words)), ("", " ", 0))[k]), True, n)
     return out
 
 
 def _cuts(model: Model, rng: random.Random, w: str, words: list[str], vocabulary: list[str]) -> list[tuple]:
     """Examples of joins: the word cut with each sort of mark, as known and as unknown; and neighbours that are no halves."""
     out: list[tuple] = []
-    n = model.counts[w]
+    n = model.count(w)
     for mark in ("\xad", "-\n", "- ", " "):
         if len(w) >= 5:
             i = rng.randint(2, len(w) - 2)
@@ -704,13 +717,13 @@ def _cuts(model: Model, rng: random.Random, w: str, words: list[str], vocabulary
             out.append(("join", model.join_features(a, mark, b.title(), (ca, cb, n, 0)), False))
         other = rng.choice(words)
         if not model.count(w + other):
-            out.append(("join", model.join_features(w, mark, other, (n, model.counts[other], 0, 0)), False))
+            out.append(("join", model.join_features(w, mark, other, (n, model.count(other), 0, 0)), False))
     return out
 
 
 def _suspect(model: Model, w: str) -> bool:
     """Does a word look like a far more frequent one?"""
-    n = model.counts[w]
+    n = model.count(w)
     return any(model.count(r) >= SUSPECT_RATIO * n for e, r in model.readings(w) if e and len(e) == 1)
 
 
@@ -726,6 +739,7 @@ def learn(texts: DataFrame) -> Model:
             for t in b.column(0).to_pylist():
                 n.update(("w", w) for w in words_of(t))
                 n.update(("h", h) for h in header_candidates(t))
+            n["t", ""] += b.num_rows
         keys = list(n)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([n[k] for k in keys], pa.int64())], names=["kind", "word", "n"])
 
@@ -733,17 +747,35 @@ def learn(texts: DataFrame) -> Model:
     c = c.cache()
     counts = all_counts(c.where((F.col("kind") == "w") & (F.col("n") >= MIN_COUNT)).select("word", "n"))
     headers = [(r.n, r.word) for r in c.where((F.col("kind") == "h") & (F.col("n") >= MIN_HEADER)).toLocalIterator()]
+    different = (c.where("kind = 't'").agg(F.sum("n")).first()[0]) or 0
     c.unpersist()
     if headers:
         held = {r.word: r.n for r in header_texts(texts.where("text <> ''"), [h for _, h in headers]).toLocalIterator()}
         headers = [(n, h) for n, h in headers if n >= HEADER_SHARE * held[h]]
     headers = [h for _, h in sorted(headers, key=lambda x: (-x[0], x[1]))]
     model = Model(counts, headers)
-    sample = texts.where("length(text) between 30 and 2000").distinct().orderBy(F.xxhash64("text"), "text").limit(MAX_SAMPLE).collect()
-    train(model, [r.text for r in sample])
+    train(model, _met(texts.where("text <> ''").distinct(), headers, different))
     return model
 
 
+def _met(texts: DataFrame, headers: list[str], n: int) -> list[tuple[list[str], bool, int]]:
+    """(features, is it any, times) of the furniture put into every one of the ``n`` different ``texts``: at least one piece each.
+
+    Features are few (form, place, neighbours), so what comes to the driver does not grow with the texts.
+    """
+    most = max(1, -(-PIECES // max(1, n)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, c = Model({}, headers), Counter()
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                c.update(("\n".join(f), x) for f, x in _furniture(model, t, most))
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in c], pa.string()), pa.array([k[1] for k in c], pa.bool_()), pa.array(list(c.values()), pa.int64())], names=["f", "is_any", "n"])
+
+    rows = texts.mapInArrow(run, "f string, is_any boolean, n bigint").groupBy("f", "is_any").agg(F.sum("n").alias("n")).orderBy("f", "is_any").collect()
+    return [(r.f.split("\n"), r.is_any, r.n) for r in rows]
+
+
 def repair_texts(rows: DataFrame, model: Model | None = None) -> DataFrame:
     """(table_name, row_id, text, noise): the repaired text of every row of ``rows`` (table_name, row_id, text) and its kinds of noise.
 

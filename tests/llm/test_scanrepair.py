@@ -86,3 +86,17 @@ def test_copies_are_no_evidence(spark):
     hot = "the slielter of the inter preters"
     m = S.learn(spark.createDataFrame([(t,) for t in texts + [hot] * 400], "text string"))
     assert m.repair(hot) == ("the shelter of the interpreters", {"broken_word", "misread"})
+
+
+def test_trained_on_all_words_and_texts(spark, monkeypatch):
+    words = [a + b + c for a in ("bal", "den", "fos", "gim", "hur", "kel", "lom") for b in ("an", "es", "it", "or", "un") for c in ("dar", "fen", "gos", "lim", "nur", "pas", "rel", "tom", "vix", "zet")]
+    m = S.Model({w: 500 - i for i, w in enumerate(words)} | {"wyqxuj": 3}, [])
+    monkeypatch.setattr(S, "MAX_TRAINING_WORDS", 100, raising=False)
+    monkeypatch.setattr(S, "TRAINING_WORDS", 100, raising=False)
+    S.train(m)
+    assert "qx" in m.bigrams  # the last word counts too
+    monkeypatch.setattr(S, "PIECES", 50)
+    texts = [(f"the {w} garden of the {v} house was built again",) for w in words[:30] for v in words[:10]]
+    met = S._met(spark.createDataFrame(texts, "text string").repartition(3), [], len(texts))
+    assert sum(n for *_, n in met) >= 0.8 * len(texts)  # one piece each; some forms are no candidates inside a line
+    assert met == S._met(spark.createDataFrame(texts, "text string").coalesce(1), [], len(texts))
