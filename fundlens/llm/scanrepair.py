@@ -668,31 +668,40 @@ _WAYS = [*((x, k, False) for x in PRINTED for k in range(4 if x in ("{}", "p. {}
 def _furniture(model: Model, text: str, most: int) -> list[tuple[list[str], bool]]:
     """(features, is it any) of furniture: numbers and headers put into a text between its words or lines, and pages that it speaks of; ``most`` of the ways to do so, by the text alone."""
     words = text.split()
-    if len(words) < 6 or model.furniture_candidates(text):
+    if len(words) < 6 or most > 1 and model.furniture_candidates(text):
         return []
-    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
-    ways = [*_WAYS, *((h, k, True) for h in rng.sample(model.headers, min(3, len(model.headers))) for k in range(5))]
-    ways = rng.sample(ways, most) if most < len(ways) else ways
+    crc = zlib.crc32(text.encode("utf-8", "replace"))
+    headers = min(3, len(model.headers))
+    if most == 1:  # of many texts: picked by the hash itself, a generator for each would cost more than the rest
+        draw = lambda a, b: a + (crc >> 9) * 2654435761 % 4294967291 % (b - a + 1)
+        k = crc % (len(_WAYS) + 5 * headers)
+        ways = [_WAYS[k] if k < len(_WAYS) else (model.headers[draw(0, len(model.headers) - 1)], k % 5, True)]
+    else:
+        rng = random.Random(crc)
+        draw = rng.randint
+        ways = [*_WAYS, *((h, k, True) for h in rng.sample(model.headers, headers) for k in range(5))]
+        ways = rng.sample(ways, most) if most < len(ways) else ways
     out: list[tuple] = []
 
     def put(piece: str, before: str, after: str, at: int, is_furniture: bool, shown: str) -> None:
         made = " ".join(words[:at]) + before + piece + after + " ".join(words[at:])
         start = len(" ".join(words[:at]) + before) + piece.find(shown)
         # only what is a candidate is ever asked
-        if any(x <= start < y for x, y in model.furniture_candidates(made)):
+        asked = model.furniture_candidates(made)
+        if any(x <= start < y for x, y in asked) and (most > 1 or len(asked) == 1):
             out.append((model.place_features(made, start, start + len(shown)), is_furniture))
 
     for form, k, header in ways:
-        at = rng.randint(2, len(words) - 2)
+        at = draw(2, len(words) - 2)
         if header:
-            h = form.replace("#", str(rng.randint(1, 9)))
+            h = form.replace("#", str(draw(1, 9)))
             put(h, *((("\n", "\n", at), (" ", " ", at), ("\n", " ", at), ("", "\n", 0), ("\n", "", len(words)))[k]), True, h)
         elif form in SPOKEN:
-            piece = form.format(rng.randint(1, 400))
+            piece = form.format(draw(1, 400))
             put(piece, *((" ", " "), ("\n", " "), (" ", "\n"))[k], at, False, re.search(r"[Pp]age \d+", piece).group())
         else:
-            n = form.format(*(rng.randint(*((1, 400), (401, 900))[i]) for i in range(form.count("{}"))))
-            cut = "-\n\n" if rng.random() < 0.3 else "\n"
+            n = form.format(*(draw(*((1, 400), (401, 900))[i]) for i in range(form.count("{}"))))
+            cut = "-\n\n" if draw(0, 9) < 3 else "\n"
             put(n, *((("\n", "\n", at), (cut, "\n", at), ("", "\n", 0), ("\n", "", len(words)), (" ", " ", at), (" ", "", len(words)), ("", " ", 0))[k]), True, n)
     return out
 
