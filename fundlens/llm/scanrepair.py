@@ -17,14 +17,19 @@ number of them; the rest lie in an indexed file on every node, so no known word
 from __future__ import annotations
 
 import math
+import operator
+import pickle
 import random
 import re
 import sqlite3
+import sys
 import tempfile
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
+from itertools import repeat
 
 import ahocorasick
 import pyarrow as pa
@@ -59,6 +64,8 @@ ODD = frozenset("0123456789ä†ﬁﬂ\\|(")
 _SEEN: dict[str, list[str]] = defaultdict(list)
 for _true, _seen in LOOK_ALIKE:
     _SEEN[_seen].append(_true)
+#: Characters that may be read another way, and the feature of leaving one.
+_KEEP = {c: f"keep>{c}" for c in [*ODD, *_SEEN] if len(c) == 1}
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 #: A word with its case and any odd characters, as read.
@@ -66,8 +73,23 @@ _READ = re.compile(r"(?:[A-Za-zÀ-ÿ0-9†ﬁﬂ\\|]|(?<=[A-Za-z])\((?=[A-Za-z]+
 #: The mark of a cut inside a word, with the spaces and breaks around it.
 _CUT = re.compile(r"(?<=[A-Za-zÀ-ÿ0-9†ﬁﬂ])(\s*[\xad¬‐]\s*|-[ \t]*[\r\n\f]\s*|- +(?=[a-zA-Z])| +-(?=[A-Za-z])|\s*[\r\n\f]\s*-\s*)(?=[A-Za-zÀ-ÿ0-9†ﬁﬂ])")
 _NUMBER = r"(?:~ ?\d{1,4} ?~|\[\d{1,4}\]|- \d{1,4} -|[Pp]age \d{1,4}(?: of \d{1,4})?|p\. \d{1,4})"
-#: Numbers that may be page numbers; the text may also speak of them.
-_PAGE = re.compile(r"(?<![\w.])(?:~ ?\d{1,4} ?~|\[\d{1,4}\]|(?<!\w )- \d{1,4} -(?!\d)|(?<=\w )- \d{1,4} -(?=\s)|[Pp]age \d{1,4}(?: of \d{1,4})?|(?<=[\n\f])\s*p\. \d{1,4}(?=\s*(?:[\n\f]|$)))(?!\w)")
+#: Numbers that may be page numbers; the text may also speak of them. Forms that never overlap, each after the characters that a text with one holds; each begins with a fixed character or set, which is searched fast.
+_PAGES = (
+    ("~", re.compile(r"~(?<![\w.]~) ?\d{1,4} ?~(?!\w)")),
+    ("[", re.compile(r"\[(?<![\w.]\[)\d{1,4}\](?!\w)")),
+    (" -", re.compile(r"-(?<![\w.]-)(?:(?<!\w -) \d{1,4} -(?!\d)|(?<=\w -) \d{1,4} -(?=\s))(?!\w)")),
+    ("age ", re.compile(r"[Pp](?<![\w.].)age \d{1,4}(?: of \d{1,4})?(?!\w)")),
+    ("p. ", re.compile(r"(?<=[\n\f])\s*p\. \d{1,4}(?=\s*(?:[\n\f]|$))(?!\w)")),
+)
+#: A number alone on the first line, or on another.
+_FIRST_ALONE = re.compile(r"[ \t]*(\d{1,4})[ \t]*(?=[\n\f\r]|$)")
+_ALONE = re.compile(r"[\n\f\r][ \t]*(\d{1,4})[ \t]*(?=[\n\f\r]|$)")
+_DASHED = re.compile(r"- \d+ -")
+#: Where a line may hold a number alone.
+_LINES_ALONE = (re.compile(r"[\n\r\f]\s*(?:p\. )?\d+\s*[\n\r\f]").search, re.compile(r"\s*\d+\s*[\n\r\f]").match, re.compile(r"[\n\r\f]\s*\d+\s*$").search)
+_SAYS_PAGE = re.compile(r"[Pp]age \d+(?: of \d+)?")
+_MARKED = re.compile(r"\W ?\d+ ?\W|- \d+ -|p\. \d+")
+_OF_THE = re.compile(r"\s*[Oo]f [Tt]he\b")
 #: What stands before a page that the text speaks of, or after it.
 _SPOKEN = re.compile(r"\b(?:see|per)\s*$", re.IGNORECASE)
 _PART = re.compile(r"[A-Za-zÀ-ÿ0-9†ﬁﬂ\\|]")
@@ -101,10 +123,11 @@ def header_candidates(text: str) -> set[str]:
     out: set[str] = set()
     lines = [x for x in _LINE.split(text) if x.strip()]
     for before, line in zip(["", *lines], lines if len(lines) > 1 else []):
-        if _CUT_OFF.search(before):
+        last = line.rstrip()[-1]
+        end = _CLOSES.search(line) if last in "~]-" or last.isdecimal() else None  # no page number ends otherwise
+        if not (end or _OPENS.match(line)) or _CUT_OFF.search(before):
             continue
-        end = _CLOSES.search(line)
-        if _OPENS.match(line) or end and not _CITED.search(line[: end.start()]):
+        if _OPENS.match(line) or not _CITED.search(line[: end.start()]):
             key = header_key(line)
             if 2 <= len(key.split()) <= 10 and key[0].isupper() and not re.search(r"[.,;]$", key) and not _CUT_OFF.search(key) and key != line.strip():
                 out.add(key)
@@ -145,15 +168,39 @@ def header_texts(texts: DataFrame, headers: list[str]) -> DataFrame:
     return some.mapInArrow(lambda it: held(it, True), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-_BESIDE_CUT = re.compile(r"[^\W\d_]*(?:\s*[\xad¬‐]\s*|-\s*[\r\n\f]\s*| -(?=\w)|- )[^\W\d_]*")
+#: The mark of a cut, and the letters after it; the first character is of a fixed set, which is searched fast.
+_CUT_ON = re.compile(r"[\s\-\xad¬‐](?:(?<=\s)\s*[\xad¬‐]\s*|(?<=[\xad¬‐])\s*|(?<=-)\s*[\r\n\f]\s*|(?<= )-(?=\w)|(?<=-) )[^\W\d_]*")
 
 
-def words_of(text: str) -> list[str]:
-    """Lower-case words that do not stand beside the mark of a cut."""
+def _without_cuts(text: str) -> str:
+    """The text without the marks of cuts and the letters on both sides of them."""
+    out, last = [], 0
+    for m in _CUT_ON.finditer(text):
+        at = m.start()
+        while at > last and text[at - 1].isalnum() and not text[at - 1].isdecimal():
+            at -= 1
+        out.append(text[last:at])
+        last = m.end()
+    out.append(text[last:])
+    return " ; ".join(out)
+
+
+def tokens_of(text: str) -> list[str]:
+    """Lower-case tokens that do not stand beside the mark of a cut."""
     text = text.replace(" - ", " ; ").lower()
     if "- " in text or " -" in text or "-\n" in text or "-\r" in text or not text.isascii():
-        text = _BESIDE_CUT.sub(" ; ", text)
-    return [w for w in _WORD.findall(text) if len(w) > 1]
+        text = _without_cuts(text)
+    return text.split()
+
+
+def words_of(tokens: Mapping[str, int]) -> Counter:
+    """Words of counted tokens, with their counts: each different token is taken apart once."""
+    out: Counter = Counter()
+    for t, n in tokens.items():
+        for w in _WORD.findall(t):
+            if len(w) > 1:
+                out[w] += n
+    return out
 
 
 def _tail(text: str, start: int, end: int) -> str:
@@ -231,6 +278,12 @@ class Model:
     def __post_init__(self) -> None:
         self.memo: dict[str, tuple[str, int]] = {}
         self.plain: dict[str, str] = {}
+        #: token -> its last word as the end or the start of a word in two tokens; a sign that no word holds where there is none
+        self.ends: dict[str, str] = {}
+        self.starts: dict[str, str] = {}
+        self.halves: dict[tuple[str, str], bool] = {}
+        #: by what the features of a join or a place are made of: are its weights above 0
+        self.taken: dict[tuple, bool] = {}
         self.automaton = ahocorasick.Automaton()
         self.by_word: dict[str, list[str]] = defaultdict(list)
         self.header_re: dict[frozenset[str], re.Pattern] = {}
@@ -248,7 +301,7 @@ class Model:
 
     def headers_in(self, text: str) -> list[tuple[int, int]]:
         """Spans of running headers with their page numbers; only those are tried whose longest word is there."""
-        words = frozenset(w for _, w in self.automaton.iter(text)) if self.headers else None
+        words = frozenset([w for _, w in self.automaton.iter(text)]) if self.headers else None
         if not words:
             return []
         pattern = self.header_re.get(words)
@@ -263,31 +316,31 @@ class Model:
 
     def furniture(self, text: str) -> list[tuple[int, int]]:
         """Spans of running headers and page numbers: the candidates that the model takes for such by their form and place."""
-        return [(a, b) for a, b in self.furniture_candidates(text) if self.score(self.place_features(text, a, b)) > 0]
+        return [(a, b) for a, b in self.furniture_candidates(text) if self.takes(_place(text, a, b), _place_features)]
+
+    def takes(self, seen: tuple, features: Callable[..., list[str]]) -> bool:
+        """Does the model say yes to what is ``seen``, by its ``features``?  Few different things are seen, so each is scored once."""
+        yes = self.taken.get(seen)
+        if yes is None:
+            yes = self.taken[seen] = self.score(features(*seen)) > 0
+        return yes
 
     def place_features(self, text: str, a: int, b: int) -> list[str]:
         """Of a candidate: its form, its place on the page, and its neighbours."""
-        span = text[a:b].strip()
-        form = "bare" if span.isdigit() else "page" if re.fullmatch(r"[Pp]age \d+(?: of \d+)?", span) else "mark" if re.fullmatch(r"\W ?\d+ ?\W|- \d+ -|p\. \d+", span) else "header"
-        before, after = text[:a].rstrip(" \t"), text[b:].lstrip(" \t")
-        first, last = not before.strip(), not after.strip()
-        opens, closes = first or before[-1] in "\n\r\f", last or after[0] in "\n\r\f"
-        alone = "alone" if opens and closes else "opens" if opens else "closes" if closes else "inside"
-        spoken = bool(_SPOKEN.search(text[max(0, a - 12) : a])) or re.match(r"\s*[Oo]f [Tt]he\b", text[b : b + 12]) is not None
-        left = before.rstrip()[-1:]
-        kind = "none" if not left else "cut" if left in "-\xad¬‐" else "end" if left in ".;:!?" else "word"
-        case = "small" if span[:1].islower() else "other"
-        f = ["place", f"place|{form}", f"place|{form}|{alone}", f"place|{form}|{case}|{alone}", f"place|{form}|before={kind}", f"place|spoken={spoken}|{form}", f"place|spoken={spoken}|{form}|{alone}|{case}"]
-        if first or last:
-            f.append(f"place|{form}|{'first' if first else 'last'}|whole={first and last}")
-        return f
+        return _place_features(*_place(text, a, b))
 
     def furniture_candidates(self, text: str) -> list[tuple[int, int]]:
         spans = self.headers_in(text)
-        spans += [m.span() for m in _PAGE.finditer(text)]
+        for held, form in _PAGES:
+            if held in text:
+                spans += [m.span() for m in form.finditer(text)]
         if "\n" in text or "\f" in text:  # a number alone on its line, between lines of running text
-            for m in re.finditer(r"(?:^|[\n\f\r])[ \t]*(\d{1,4})[ \t]*(?=[\n\f\r]|$)", text):
-                spans.append(m.span(1))
+            first = _FIRST_ALONE.match(text)
+            if first:
+                spans.append(first.span(1))
+            spans += [m.span(1) for m in _ALONE.finditer(text, first.end() if first else 0)]
+        if len(spans) < 2:
+            return spans
         spans.sort()
         out: list[tuple[int, int]] = []
         for a, b in spans:
@@ -303,13 +356,13 @@ class Model:
         """Of one way to read a word: its operations with their surroundings, and what the result is."""
         n = len(read)
         f = []
+        kind = lambda c: "^" if c in "^$" else "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o"
         for at, seen, true in edits:
             left, right = read[at - 1 : at] or "^", read[at + len(seen) : at + len(seen) + 1] or "$"
-            kind = lambda c: "^" if c in "^$" else "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o"
             op = "replace" if len(seen) == len(true) else "insert" if len(true) > len(seen) else "delete"
             f += [f"{op}", f"{seen}>{true}", f"{seen}>{true}|{kind(left)}{kind(right)}", f"{op}|{'odd' if set(seen) & ODD else 'letter'}"]
         touched = {i for at, seen, _ in edits for i in range(at, at + len(seen))}
-        f += [f"keep>{c}" for i, c in enumerate(read) if i not in touched and (c in ODD or c in _SEEN)]  # positions where another operation was possible
+        f += [_KEEP[c] for i, c in enumerate(read) if c in _KEEP and i not in touched]  # positions where another operation was possible
         if not edits:
             f.append("keep")
             f.append("keep|odd" if set(read) & ODD else "keep|letters")
@@ -328,7 +381,7 @@ class Model:
     def fluency(self, word: str) -> float:
         """Mean log-probability of its letter pairs, from 0 down to -6."""
         w = f"^{word.lower()}$"
-        return max(-6.0, sum(self.bigrams.get(w[i : i + 2], -6.0) for i in range(len(w) - 1)) / (len(w) - 1))
+        return max(-6.0, sum(map(self.bigrams.get, map(operator.add, w, w[1:]), repeat(-6.0))) / (len(w) - 1))
 
     def readings(self, read: str) -> Iterator[tuple[tuple[tuple[int, str, str], ...], str]]:
         """(edits, result): the word as it is, and with look-alikes undone.
@@ -402,8 +455,7 @@ class Model:
         return ((e, r) for e, r in self.readings(read) if odd or not e or self.count(r))
 
     def score(self, features: Iterable[str]) -> float:
-        w = self.weights
-        return sum(w.get(x, 0.0) for x in features)
+        return sum(map(self.weights.get, features, repeat(0.0)))
 
     def edit(self, read: str) -> tuple[str, int]:
         """(word as written, operations other than keep)."""
@@ -433,9 +485,12 @@ class Model:
             return read, 0
         if not odd and len(read) < 3:
             return read, 0
+        ways = list(self.candidates(read))
+        if len(ways) == 1:  # the word as it is
+            return read, 0
         own = self.count(read)
         best, result, edits = -1e18, read, ()
-        for e, r in self.candidates(read):
+        for e, r in ways:
             s = self.score(self.features(read, e, r, True, own))
             if s > best:
                 best, result, edits = s, r, e
@@ -445,6 +500,10 @@ class Model:
 
     def join_features(self, a: str, mark: str, b: str, counts: tuple[int, int, int, int] | None = None) -> list[str]:
         """Of joining ``a`` and ``b`` over ``mark``; ``counts``: of a, b, the whole, and what a lone half may be misread for (else looked up)."""
+        return _join_features(*self.join_seen(a, mark, b, counts))
+
+    def join_seen(self, a: str, mark: str, b: str, counts: tuple[int, int, int, int] | None = None) -> tuple:
+        """What the features of a join are made of."""
         if counts is None:
             ca, cb, n, lone = self.count(a), self.count(b), self.count(a + b), 0
             if not n and not (ca and cb):
@@ -456,37 +515,47 @@ class Model:
                 lone = self.count(fixed) if edits else 0
         else:
             ca, cb, n, lone = counts
-        kind = "soft" if any(c in mark for c in "\xad¬‐") else "blank" if mark == " " else "line" if re.search(r"[\r\n\f]", mark) else "hyphen"
-        seen = f"{int(n > 0)}{int(ca > 0)}{int(cb > 0)}"
-        ratio = max(-3, min(5, int(2 * math.log2((1 + n) / (1 + min(ca, cb)))) // 2))
-        f = ["join", f"join|{kind}", f"join|{kind}|{seen}", f"join|{kind}|{seen}|short={len(b) <= 2}"]
-        f += [f"join|{kind}|ratio>={k}" for k in range(-2, ratio + 1)] if n else []
-        if b[:1].isupper() and not a.isupper():
-            f += ["join|case", f"join|case|{kind}|{int(n > 0)}"]
-        if lone:
-            f.append(f"join|lone={'less' if lone < n else 'more'}")
-        if len(a) + len(b) < 4:
-            f.append("join|tiny")
-        return f
+        kind = "blank" if mark == " " else "soft" if any(c in mark for c in "\xad¬‐") else "line" if re.search(r"[\r\n\f]", mark) else "hyphen"
+        ratio = max(-3, min(5, int(2 * math.log2((1 + n) / (1 + min(ca, cb)))) // 2)) if n else None
+        return kind, n > 0, ca > 0, cb > 0, len(b) <= 2, ratio, b[:1].isupper() and not a.isupper(), lone and ("less" if lone < n else "more"), len(a) + len(b) < 4
 
     def joins(self, a: str, mark: str, b: str) -> bool:
         """Does the model join ``a`` and ``b``, halves around a mark or a blank?"""
         if mark == " " and (a.isdigit() or b.isdigit()):
             return False
-        return self.score(self.join_features(a, mark, b)) > 0
+        return self.takes(self.join_seen(a, mark, b), _join_features)
+
+    def are_halves(self, a: str, b: str) -> bool:
+        """Does the model join two tokens with nothing but a blank between them?"""
+        yes = self.halves.get((a, b))
+        if yes is None:
+            if len(self.halves) > 200_000:
+                self.halves.clear()
+            yes = self.halves[a, b] = self._are_halves(a, b)
+        return yes
+
+    def _are_halves(self, a: str, b: str) -> bool:
+        low, after = self.last_word(a), self.last_word(b)
+        if a[-1:] in ".,;:)-" if not low else after and after != "!" and low != "!" and low + b.lower().strip(".,;:)") not in self.counts:
+            return False
+        ma, mb = _TAIL.search(a).group(), _HEAD.match(b).group()
+        return bool(ma and mb) and self.joins(ma, " ", mb)
 
     def clean(self, text: str) -> str | None:
         """The text with single blanks if every token of it is trusted and no two together make a known word."""
-        plain, counts = self.plain, self.counts
-        before = ""
         tokens = text.split()
-        for t in tokens:
-            low = plain.get(t)
-            if low is None:
-                low = self.last_word(t)
-            if low == "!" or before and low and before + low in counts:
-                return None
-            before = low if t[-1].isalpha() else ""
+        try:
+            starts = list(map(self.starts.__getitem__, tokens))
+        except KeyError:
+            for t in tokens:
+                if t not in self.starts:
+                    self.last_word(t)
+            starts = list(map(self.starts.__getitem__, tokens))
+        if "!" in starts:
+            return None
+        together = map(operator.add, map(self.ends.__getitem__, tokens), starts[1:])
+        if not self.counts.keys().isdisjoint(together) if type(self.counts) is dict else any(map(self.counts.__contains__, together)):
+            return None
         return " ".join(tokens)
 
     def _plain(self, t: str) -> str:
@@ -504,15 +573,20 @@ class Model:
         return parts[-1].lower()
 
     def has_furniture(self, text: str) -> bool:
-        """May there be any? Looks for a piece of a header or for a number in print form."""
+        """May there be any? Looks for a piece of a header, for a number in print form or alone on a line."""
+        if "Page " in text or "page " in text or "~" in text or "[" in text or "- " in text and _DASHED.search(text):
+            return True
         if self.headers and next(self.automaton.iter(text), None) is not None:
             return True
-        return "Page " in text or "page " in text or "~" in text or "[" in text or re.search(r"- \d+ -|[\n\r\f]\s*(?:p\. )?\d+\s*[\n\r\f]", text) is not None
+        return ("\n" in text or "\r" in text or "\f" in text) and any(look(text) for look in _LINES_ALONE)
 
     def repair(self, text: str) -> tuple[str, set[str]]:
         """(text as it was written, kinds of noise found)."""
         kinds: set[str] = set()
-        spans = self.furniture(text) if self.has_furniture(text) or re.match(r"\s*\d+\s*[\n\r\f]", text) or re.search(r"[\n\r\f]\s*\d+\s*$", text) else []
+        if len(self.plain) > 500_000:
+            for x in (self.plain, self.starts, self.ends):
+                x.clear()
+        spans = self.furniture(text) if self.has_furniture(text) else []
         if not spans:
             whole = self.clean(text)
             if whole is not None and "- " not in whole.replace(" - ", " "):
@@ -529,7 +603,7 @@ class Model:
                 gap = " " if p.strip() else ""
                 text = text + gap + p.lstrip() if not text[-1:] in "\xad¬‐" else text + p.lstrip()
             text = text.strip()
-        if _CUT.search(text):
+        if ("-" in text or "\xad" in text or "¬" in text or "‐" in text) and _CUT.search(text):
             out, last = [], 0
             for m in _CUT.finditer(text):
                 a = _tail(text, last, m.start())
@@ -542,24 +616,21 @@ class Model:
                     last = m.end()
             out.append(text[last:])
             text = "".join(out)
-        text = re.sub(r"\s+", " ", text)
-        tokens = text.split(" ")
-        i = 0
-        while i < len(tokens) - 1:  # halves with nothing but a blank between them
-            a, b = tokens[i], tokens[i + 1]
-            low = self.last_word(a)
-            after = self.last_word(b)
-            if low in ("", None) and a[-1:] in ".,;:)-" or low and after and after != "!" and low != "!" and low + b.lower().strip(".,;:)") not in self.counts:
-                i += 1
-                continue
-            ma, mb = _TAIL.search(a), _HEAD.match(b)
-            if ma.group() and mb.group() and self.joins(ma.group(), " ", mb.group()):
+        edge = lambda c: [""] if c.isspace() else []
+        tokens = edge(text[:1]) + text.split() + edge(text[-1:]) or [""]
+        pairs = list(zip(tokens, tokens[1:]))
+        found = list(map(self.halves.get, pairs))
+        if None in found:
+            found = [self.are_halves(*x) if yes is None else yes for x, yes in zip(pairs, found)]
+        i = found.index(True) if True in found else len(tokens)
+        while i < len(tokens) - 1:
+            if self.are_halves(tokens[i], tokens[i + 1]):
                 kinds.add("broken_word")
-                tokens[i : i + 2] = [a + b]
-                continue
-            i += 1
+                tokens[i : i + 2] = [tokens[i] + tokens[i + 1]]
+            else:
+                i += 1
         for i, t in enumerate(tokens):
-            if self.last_word(t) == "!":
+            if (self.plain.get(t) or self.last_word(t)) == "!":
                 fixed, edits = self.token(t)
                 if edits:
                     kinds.add("misread")
@@ -569,9 +640,9 @@ class Model:
     def last_word(self, t: str) -> str:
         low = self.plain.get(t)
         if low is None:
-            if len(self.plain) > 500_000:
-                self.plain.clear()
             low = self.plain[t] = self._plain(t) if t else ""
+            self.starts[t] = low or "\0"
+            self.ends[t] = low if low and t[-1].isalpha() else "\0"
         return low
 
     def token(self, t: str) -> tuple[str, int]:
@@ -589,6 +660,42 @@ class Model:
         return _READ.sub(fix, t), n
 
 
+def _place(text: str, a: int, b: int) -> tuple:
+    """What the features of a piece of furniture at ``a`` to ``b`` are made of."""
+    span = text[a:b].strip()
+    form = "bare" if span.isdigit() else "page" if _SAYS_PAGE.fullmatch(span) else "mark" if _MARKED.fullmatch(span) else "header"
+    before, after = text[:a].rstrip(" \t"), text[b:].lstrip(" \t")
+    left = before.rstrip()[-1:]
+    first, last = not left, not after or after.isspace()
+    opens, closes = first or before[-1] in "\n\r\f", last or after[0] in "\n\r\f"
+    spoken = bool(_SPOKEN.search(text[max(0, a - 12) : a])) or _OF_THE.match(text[b : b + 12]) is not None
+    kind = "none" if not left else "cut" if left in "-\xad¬‐" else "end" if left in ".;:!?" else "word"
+    return form, first, last, opens, closes, spoken, kind, "small" if span[:1].islower() else "other"
+
+
+@cache
+def _place_features(form: str, first: bool, last: bool, opens: bool, closes: bool, spoken: bool, kind: str, case: str) -> list[str]:
+    alone = "alone" if opens and closes else "opens" if opens else "closes" if closes else "inside"
+    f = ["place", f"place|{form}", f"place|{form}|{alone}", f"place|{form}|{case}|{alone}", f"place|{form}|before={kind}", f"place|spoken={spoken}|{form}", f"place|spoken={spoken}|{form}|{alone}|{case}"]
+    if first or last:
+        f.append(f"place|{form}|{'first' if first else 'last'}|whole={first and last}")
+    return f
+
+
+@cache
+def _join_features(kind: str, whole: bool, known_a: bool, known_b: bool, short: bool, ratio: int | None, case: bool, lone: str | int, tiny: bool) -> list[str]:
+    seen = f"{int(whole)}{int(known_a)}{int(known_b)}"
+    f = ["join", f"join|{kind}", f"join|{kind}|{seen}", f"join|{kind}|{seen}|short={short}"]
+    f += [f"join|{kind}|ratio>={k}" for k in range(-2, ratio + 1)] if whole else []
+    if case:
+        f += ["join|case", f"join|case|{kind}|{int(whole)}"]
+    if lone:
+        f.append(f"join|lone={lone}")
+    if tiny:
+        f.append("join|tiny")
+    return f
+
+
 # ------------------------------------------------------------------ training
 
 
@@ -616,8 +723,16 @@ def train(model: Model, furniture: Sequence[tuple[list[str], bool, int]] = (), s
     # the corpus says in which share each piece is met, not how many there are
     put = [("join", feats, is_any) for feats, is_any, n in furniture for _ in range(max(1, round(n * min(1.0, PIECES / seen))))]
 
+    def asked(read: str, true: str, blind: bool, own: int | None) -> tuple:
+        """(features, result) of every reading and the features of the right one; nothing of a word that has no choice, or no right one."""
+        ways = list(model.candidates(read))
+        if len(ways) == 1 or all(r != true for _, r in ways):
+            return "edit", None, None, true
+        options = [(list(map(sys.intern, model.features(read, e, r, not blind, own))), r) for e, r in ways]
+        return "edit", options, next(f for f, r in options if r == true), true
+
     def made(k: int) -> list[tuple]:
-        """The examples of the k-th part of the words, the same at every call, and its share of the furniture."""
+        """The examples of the k-th part of the words."""
         part, rng = parts[k], random.Random(seed * 1_000_003 + k)
         examples: list[tuple] = []
         for w in part:
@@ -633,28 +748,37 @@ def train(model: Model, furniture: Sequence[tuple[list[str], bool, int]] = (), s
                 if not set(read) & ODD:  # a word that is not much rarer is another word
                     examples += [("edit", read, read, False, max(1, n // rng.choice((2, 4, 6)))), ("edit", read, read, False, n * rng.choice((1, 5, 40)))]
             examples += _cuts(model, rng, w, words, vocabulary)
-        return examples + put[k :: len(parts)]
+        return [asked(*x[1:]) if x[0] == "edit" else x for x in examples]
 
-    held = made(0) if len(parts) == 1 else None
+    get, zeros = weights.get, repeat(0.0)
     step = 0
-    for k in list(range(len(parts))) * EPOCHS:
-        examples = held or made(k)
-        rng.shuffle(examples)
-        for kind, *x in examples:
-            step += 1
-            if kind == "edit":
-                read, true, blind, own = x
-                options = [(model.features(read, e, r, not blind, own), r) for e, r in model.candidates(read)]
-                best = max(options, key=lambda o: model.score(o[0]))
-                gold = next((o for o in options if o[1] == true), None)
-                moves = ((gold[0], 1.0), (best[0], -1.0)) if gold is not None and best[1] != true else ()
-            else:
-                feats, cut = x
-                moves = ((feats, 1.0 if cut else -1.0),) if (model.score(feats) > 0) != cut else ()
-            for feats, d in moves:
-                for f in feats:
-                    weights[f] += d
-                    sums[f] += d * step
+    with tempfile.TemporaryFile() as file:  # each part is made once and read again, so that one at a time is in memory
+        held = made(0) + put if len(parts) == 1 else None
+        at: list[int] = []
+        for k in range(len(parts) if held is None else 0):
+            at.append(file.tell())
+            pickle.dump(made(k), file, pickle.HIGHEST_PROTOCOL)
+        for k in list(range(len(parts))) * EPOCHS:
+            examples = held
+            if examples is None:
+                file.seek(at[k])
+                examples = pickle.load(file) + put[k :: len(parts)]
+            rng.shuffle(examples)
+            for x in examples:
+                step += 1
+                if x[0] == "edit":
+                    _, options, gold, true = x
+                    if options is None:
+                        continue
+                    best = max(options, key=lambda o: sum(map(get, o[0], zeros)))
+                    moves = ((gold, 1.0), (best[0], -1.0)) if best[1] != true else ()
+                else:
+                    _, feats, cut = x
+                    moves = ((feats, 1.0 if cut else -1.0),) if (sum(map(get, feats, zeros)) > 0) != cut else ()
+                for feats, d in moves:
+                    for f in feats:
+                        weights[f] += d
+                        sums[f] += d * step
     model.weights = {x: w - sums[x] / (step or 1) for x, w in weights.items()}
 
 
@@ -665,6 +789,9 @@ SPOKEN = ("see page {} of the plan", "See Page {} of the plan", "per page {}", "
 _WAYS = [*((x, k, False) for x in PRINTED for k in range(4 if x in ("{}", "p. {}") else 7)), *((x, k, False) for x in SPOKEN for k in range(3))]
 
 
+_A_PAGE = re.compile(r"[Pp]age \d+")
+
+
 def _furniture(model: Model, text: str, most: int) -> list[tuple[list[str], bool]]:
     """(features, is it any) of furniture: numbers and headers put into a text between its words or lines, and pages that it speaks of; ``most`` of the ways to do so, by the text alone."""
     words = text.split()
@@ -684,8 +811,9 @@ def _furniture(model: Model, text: str, most: int) -> list[tuple[list[str], bool
     out: list[tuple] = []
 
     def put(piece: str, before: str, after: str, at: int, is_furniture: bool, shown: str) -> None:
-        made = " ".join(words[:at]) + before + piece + after + " ".join(words[at:])
-        start = len(" ".join(words[:at]) + before) + piece.find(shown)
+        left = " ".join(words[:at]) + before
+        made = left + piece + after + " ".join(words[at:])
+        start = len(left) + piece.find(shown)
         # only what is a candidate is ever asked
         asked = model.furniture_candidates(made)
         if any(x <= start < y for x, y in asked) and (most > 1 or len(asked) == 1):
@@ -698,7 +826,7 @@ def _furniture(model: Model, text: str, most: int) -> list[tuple[list[str], bool
             put(h, *((("\n", "\n", at), (" ", " ", at), ("\n", " ", at), ("", "\n", 0), ("\n", "", len(words)))[k]), True, h)
         elif form in SPOKEN:
             piece = form.format(draw(1, 400))
-            put(piece, *((" ", " "), ("\n", " "), (" ", "\n"))[k], at, False, re.search(r"[Pp]age \d+", piece).group())
+            put(piece, *((" ", " "), ("\n", " "), (" ", "\n"))[k], at, False, _A_PAGE.search(piece).group())
         else:
             n = form.format(*(draw(*((1, 400), (401, 900))[i]) for i in range(form.count("{}"))))
             cut = "-\n\n" if draw(0, 9) < 3 else "\n"
@@ -743,14 +871,20 @@ def learn(texts: DataFrame) -> Model:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
+        tokens, words, headers, n = Counter(), Counter(), Counter(), 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                n.update(("w", w) for w in words_of(t))
-                n.update(("h", h) for h in header_candidates(t))
-            n["t", ""] += b.num_rows
-        keys = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([n[k] for k in keys], pa.int64())], names=["kind", "word", "n"])
+                tokens.update(tokens_of(t))
+                if "\n" in t or "\r" in t or "\f" in t:
+                    headers.update(header_candidates(t))
+            n += b.num_rows
+            if len(tokens) > 500_000:
+                words.update(words_of(tokens))
+                tokens.clear()
+        words.update(words_of(tokens))
+        keys = [*words, *headers, ""]
+        kinds = ["w"] * len(words) + ["h"] * len(headers) + ["t"]
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(keys, pa.string()), pa.array([*words.values(), *headers.values(), n], pa.int64())], names=["kind", "word", "n"])
 
     c = texts.where("text <> ''").distinct().mapInArrow(count, "kind string, word string, n bigint").groupBy("kind", "word").agg(F.sum("n").alias("n"))
     c = c.cache()
@@ -778,13 +912,24 @@ def _met(texts: DataFrame, headers: list[str], n: int) -> list[tuple[list[str],
         model, c = Model({}, headers), Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                c.update(("\n".join(f), x) for f, x in _furniture(model, t, most))
+                for f, x in _furniture(model, t, most):
+                    c["\n".join(f), x] += 1
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in c], pa.string()), pa.array([k[1] for k in c], pa.bool_()), pa.array(list(c.values()), pa.int64())], names=["f", "is_any", "n"])
 
     rows = texts.mapInArrow(run, "f string, is_any boolean, n bigint").groupBy("f", "is_any").agg(F.sum("n").alias("n")).orderBy("f", "is_any").collect()
     return [(r.f.split("\n"), r.is_any, r.n) for r in rows]
 
 
+_kept: list = [None, None]
+
+
+def _own(data: tuple) -> Model:
+    """The model of ``data``: one for all tasks of a worker, so what it has worked out is not worked out again."""
+    if _kept[0] is not data:
+        _kept[:] = data, Model(*data)
+    return _kept[1]
+
+
 def repair_texts(rows: DataFrame, model: Model | None = None) -> DataFrame:
     """(table_name, row_id, text, noise): the repaired text of every row of ``rows`` (table_name, row_id, text) and its kinds of noise.
 
@@ -795,7 +940,7 @@ def repair_texts(rows: DataFrame, model: Model | None = None) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+        own = _own(shared.value)
         for b in batches:
             texts, kinds = [], []
             for t in b.column(2).to_pylist():

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -100,3 +101,45 @@ def test_trained_on_all_words_and_texts(spark, monkeypatch):
     met = S._met(spark.createDataFrame(texts, "text string").repartition(3), [], len(texts))
     assert sum(n for *_, n in met) >= 0.8 * len(texts)  # one piece each; some forms are no candidates inside a line
     assert met == S._met(spark.createDataFrame(texts, "text string").coalesce(1), [], len(texts))
+
+
+def test_nothing_is_worked_out_twice(monkeypatch):
+    asked = {"features": 0, "count": 0}
+    for name in asked:
+
+        def counted(self, *x, name=name, f=getattr(S.Model, name)):
+            asked[name] += 1
+            return f(self, *x)
+
+        monkeypatch.setattr(S.Model, name, counted)
+    monkeypatch.setattr(S, "TRAINING_WORDS", 10)  # several parts
+    made = []
+    for epochs in (1, 5):
+        monkeypatch.setattr(S, "EPOCHS", epochs)
+        asked["features"] = 0
+        m = S.Model({w: 90 - i for i, w in enumerate(WORDS)}, [])
+        S.train(m)
+        made.append(asked["features"])
+    assert made[0] == made[1] > 0
+    text = "the Zorvik c0uncil of the Tavlor dis trict, 12 Wexel and the\nequip- ment of Zorvik"
+    first = m.repair(text)
+    asked["count"] = 0
+    assert m.repair(text) == first and first[1] and asked["count"] <= 4  # only the marked cut is looked up again
+
+
+def test_page_forms_apart_find_what_one_pattern_finds():
+    one = re.compile(r"(?<![\w.])(?:~ ?\d{1,4} ?~|\[\d{1,4}\]|(?<!\w )- \d{1,4} -(?!\d)|(?<=\w )- \d{1,4} -(?=\s)|[Pp]age \d{1,4}(?: of \d{1,4})?|(?<=[\n\f])\s*p\. \d{1,4}(?=\s*(?:[\n\f]|$)))(?!\w)")
+    rng = random.Random(11)
+    bits = ["~ 12 ~", "~5~", "[7]", "- 3 -", "- 4 - 5 -", "Page 12", "page 3 of 9", "p. 4", "\n", "\n\n", "\f", " ", "  ", "\t", "x", ".", "3", "٣", "-", "~"]
+    for _ in range(5000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 9)))
+        assert sorted(m.span() for held, form in S._PAGES if held in text for m in form.finditer(text)) == [m.span() for m in one.finditer(text)], text
+
+
+def test_words_beside_cuts_are_not_counted():
+    one = re.compile(r"[^\W\d_]*(?:\s*[\xad¬‐]\s*|-\s*[\r\n\f]\s*| -(?=\w)|- )[^\W\d_]*")
+    rng = random.Random(12)
+    bits = ["the", "area", "x²", "é", "-", "- ", " -", " - ", "-\n", "-\r\n", "\xad", "¬ ", "‐", " ", "  ", "\n", "'", "_", "7", ";", "- -"]
+    for _ in range(5000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 12)))
+        assert S._without_cuts(text) == one.sub(" ; ", text), text
