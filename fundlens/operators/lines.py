@@ -61,10 +61,10 @@ def lookahead(lines: DataFrame, flag: Column, name: str, doc: str = "doc", line:
 
 def midpoint_assign(points: DataFrame, is_anchor: Column, place: str, key: Sequence[str], id_col: str) -> DataFrame:
     """``points`` with ``anchor``: the id of the nearer of the anchors before and after; the earlier of two as near."""
-    w = W.partitionBy(*key).orderBy(place, id_col)
     a = F.when(is_anchor, F.struct(F.col(place).alias("p"), F.col(id_col).alias("i")))
-    d = points.withColumn("_a", a)
-    d = d.withColumn("_prev", F.last("_a", True).over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("_next", F.first("_a", True).over(w.rowsBetween(0, W.unboundedFollowing)))
+    # the next one is the last one seen in reverse order: a frame that ends at the last row would be worked out anew for every row
+    seen = lambda *order: F.last("_a", True).over(W.partitionBy(*key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    d = points.withColumn("_a", a).withColumn("_prev", seen(F.asc(place), F.asc(id_col))).withColumn("_next", seen(F.desc(place), F.desc(id_col)))
     near_prev = F.col("_next").isNull() | (F.col("_prev").isNotNull() & ((F.col(place) - F.col("_prev.p")) <= (F.col("_next.p") - F.col(place))))
     return d.withColumn("anchor", F.when(near_prev, F.col("_prev.i")).otherwise(F.col("_next.i"))).drop("_a", "_prev", "_next")
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from fundlens.functions import exprs as X
-from fundlens.operators import closure, drift, orphans, pivot, query, rejects
+from fundlens.operators import closure, drift, lines, orphans, pivot, query, rejects
 
 
 def test_dense_ids_of_many_rows(spark, tmp_path):
@@ -86,3 +86,21 @@ def test_accents_and_agency_leads(spark):
     a, b = X.agency_prefix_split(F.col("s"))
     rows = spark.createDataFrame([("DYCD/Hhs Arts fund",), ("Arts fund",), ("DFTA",), ("DYCD, HhS Arts",)], "s string").select(a, b).collect()
     assert [tuple(x) for x in rows] == [("", "DYCD/Hhs Arts fund"), ("", "Arts fund"), ("", "DFTA"), ("DYCD, HhS", "Arts")]
+
+
+def test_nearest_anchor_grows_with_the_rows(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, k, rng.choice([None, *range(40)]), rng.random() < 0.2) for k in ("a", "b") for i in rng.sample(range(100), 60)] + [(200, "c", 1, False)]
+    points = spark.createDataFrame(rows, "i int, k string, p int, anchor_here boolean")
+    d = lines.midpoint_assign(points, F.col("anchor_here"), "p", ["k"], "i")
+    assert "unboundedfollowing" not in d._jdf.queryExecution().optimizedPlan().toString().lower()  # Spark works such a frame out anew for every row
+    want = {}
+    for k in "abc":
+        mine = sorted((r for r in rows if r[1] == k), key=lambda r: (r[2] is not None, r[2] or 0, r[0]))
+        for at, (i, _, p, _) in enumerate(mine):
+            before, after = [r for r in mine[: at + 1] if r[3]][-1:], [r for r in mine[at:] if r[3]][:1]
+            near = before and after and None not in (p, before[0][2], after[0][2]) and p - before[0][2] <= after[0][2] - p
+            want[k, i] = next(iter(before if near or not after else after), (None,))[0]
+    assert {(r.k, r.i): r.anchor for r in d.collect()} == want
